@@ -4,8 +4,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opinera.llm import packing, sharding, sstable
+from opinera.llm import decontaminate, fingerprints, packing, secrets, sharding, simhash, sstable, toxicity
 from opinera.sources.tables import table
 
 #: A parameter of the token operators; the file itself is never copied.
@@ -22,16 +23,38 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_session(spark), table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, separator=0)
 
 
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_report(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"), shards=40)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_scores(_session(spark), table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_groups(_session(spark), table(spark, sf_dir, "documents"), width=3, distance=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_documents(table(_session(spark), sf_dir, "documents"), ["doc_id"])
+
+
 def op10_sstable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.token_tables(_session(spark), table(spark, sf_dir, "documents"), TOKENIZER, end_id=2)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_stratified_sharding, op10_sstable_tokens)}
+    every = (op1_best_fit_packing, op2_winnowing, op3_stratified_sharding, op6_toxicity, op7_decontamination, op8_simhash_groups, op9_secret_scan, op10_sstable_tokens)
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
