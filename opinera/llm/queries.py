@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinera.llm import decontaminate, fingerprints, packing, secrets, sharding, simhash, sstable, toxicity
+from opinera.llm import decontaminate, fingerprints, fm_dedup, packing, sa_dedup, secrets, sharding, simhash, sstable, toxicity
 from opinera.sources.tables import table
 
 #: A parameter of the token operators; the file itself is never copied.
@@ -31,6 +31,14 @@ def op3_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"), shards=40)
 
 
+def op4_fm_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.remove_repeats(_session(spark), table(spark, sf_dir, "documents"), texts=False)
+
+
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sa_dedup.remove_repeats(_session(spark), table(spark, sf_dir, "documents"), texts=False)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic_scores(_session(spark), table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,7 +61,7 @@ def op10_sstable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_best_fit_packing, op2_winnowing, op3_stratified_sharding, op6_toxicity, op7_decontamination, op8_simhash_groups, op9_secret_scan, op10_sstable_tokens)
+    every = (op1_best_fit_packing, op2_winnowing, op3_stratified_sharding, op4_fm_substring_dedup, op5_suffix_array_dedup, op6_toxicity, op7_decontamination, op8_simhash_groups, op9_secret_scan, op10_sstable_tokens)
     return {f.__name__: f for f in every}
 
 
