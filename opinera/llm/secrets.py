@@ -136,3 +136,35 @@ def scan_documents(docs: DataFrame, keep: list[str], threshold_table: np.ndarray
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *arrays], [*keep, *(n for n, _ in added)])
 
     return docs.select(docs["text"].alias("_text"), *keep).mapInArrow(scan, schema)
+
+
+def redact_documents(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
+    """docs with each span of the text (overlapping ones together) replaced by mark. n_chars follows the text if there is one."""
+    table, columns = ratio_table(), docs.columns
+    where = columns.index("text")
+    count = columns.index("n_chars") if "n_chars" in columns else None
+
+    def redact(batches):
+        for batch in batches:
+            texts, sizes = [], []
+            for value in batch.column(where):
+                text = value.as_py()
+                runs = list(CANDIDATE.finditer(text or ""))
+                base = base_spans(text or "", runs)
+                spans = sorted(base + random_spans(runs, table, base))
+                if spans:
+                    out, at = [], 0
+                    for a, _, b in spans:
+                        if a >= at:
+                            out += [text[at:a], mark]
+                        at = max(at, b)
+                    text = "".join([*out, text[at:]])
+                texts.append(text)
+                sizes.append(None if text is None else len(text))
+            arrays = list(batch.columns)
+            arrays[where] = pa.array(texts, pa.string())
+            if count is not None:
+                arrays[count] = pa.array([n if t is not None else o for n, t, o in zip(sizes, texts, arrays[count].to_pylist(), strict=True)], arrays[count].type)
+            yield pa.RecordBatch.from_arrays(arrays, columns)
+
+    return docs.mapInArrow(redact, docs.schema)

@@ -145,20 +145,20 @@ def fit_on(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     return fit([r["text"] for r in sample], [int(r["toxic"]) for r in sample])
 
 
-def score_documents(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns in keep and score of each row."""
+def score_documents(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
+    """The columns in keep and the score, under a name that none of them has."""
     sent = spark.sparkContext.broadcast((model.share.astype(np.float32), model.bias))  # fixed size
-    name = uuid.uuid4().hex
+    mark = uuid.uuid4().hex
 
     schema = docs.select(*keep).schema
 
     def score(batches):
-        local = _local(name, sent)
+        local = _local(mark, sent)
         for batch in batches:
             scores = [local.score(t.as_py()) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], [*keep, name])
 
-    return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(score, schema.add("score", "double"))
+    return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(score, schema.add(name, "double"))
 
 
 _models: dict[str, Model] = {}
@@ -173,6 +173,12 @@ def _local(name: str, sent) -> Model:
     return _models[name]
 
 
+def keep_clean(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs without those that score 0.5 or more."""
+    scored = score_documents(spark, docs, fit_on(docs, labels), docs.columns, "_toxic_score")
+    return scored.where("_toxic_score < 0.5").select(*docs.columns)
+
+
 def toxic_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     scored = score_documents(spark, docs, fit_on(docs, labels), ["doc_id"])
