@@ -366,7 +366,8 @@ def per_document(batches, kinds: list[str]):
             order = np.argsort(arrays[0], kind="stable")
             arrays, blobs = [a[order] for a in arrays], []
             distinct, first = np.unique(arrays[0], return_index=True)
-            begins = dict(zip(distinct.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True), strict=True))
+            ends = np.append(first, len(order))[1:]
+            begins = dict(zip(distinct.tolist(), zip(first.tolist(), ends.tolist(), strict=True), strict=True))
         for doc, t, i in zip(_ids(ids), text, k, strict=True):
             if i == 1:
                 at = begins.get(doc)
