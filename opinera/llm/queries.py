@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinera.llm import decontaminate, fingerprints, fm_dedup, packing, sa_dedup, secrets, sharding, simhash, sstable, toxicity
+from opinera.llm import decontaminate, fingerprints, fm_dedup, oracles, packing, sa_dedup, secrets, sharding, simhash, sstable, toxicity
 from opinera.sources.tables import table
 
 #: A parameter of the token operators; the file itself is never copied.
@@ -66,4 +66,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {op4_fm_substring_dedup.__name__: oracles.FM_DEDUP, op7_decontamination.__name__: oracles.DECONTAMINATION}
