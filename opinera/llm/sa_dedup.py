@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from opinera.llm.fm_dedup import shared_anchors
-from opinera.llm.repeats import Corpus
+from opinera.llm.repeats import Corpus, gram_hashes
 
 WINDOW = 50
 GRAM = 16
@@ -98,31 +98,56 @@ def suffix_array(text: list[int]) -> list[int]:
     return order
 
 
+def candidate_spans(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last window of each string whose rolling hash occurs twice; last < first if none does.
+
+    Windows outside can't repeat and needn't be sorted. Those inside still are: a hash decides nothing.
+    """
+    windows = np.array([len(s) - WINDOW + 1 for s in strings])
+    begin = np.r_[0, np.cumsum(windows + WINDOW - 1)[:-1]]
+    edge = np.cumsum(windows) - windows
+    which = np.repeat(np.arange(len(strings)), windows)
+    place = np.arange(len(which)) - edge[which]
+    hashed = gram_hashes(BYTE_HASH[np.frombuffer(b"".join(strings), np.uint8)], WINDOW)[begin[which] + place]
+    order = np.argsort(hashed)
+    same = hashed[order][1:] == hashed[order][:-1]
+    twice = np.zeros(len(hashed), bool)
+    twice[order] = np.r_[same, False] | np.r_[False, same]
+    first = np.minimum.reduceat(np.where(twice, place, np.iinfo(np.int64).max), edge)
+    return first, np.maximum.reduceat(np.where(twice, place, -1), edge)
+
+
 def repeated_windows(strings: list[bytes], docs: np.ndarray, anchors: np.ndarray) -> list[np.ndarray | None]:
     """For each string: which of its windows also start in a document with a smaller id. None: none."""
     found: list[np.ndarray | None] = [None] * len(strings)
     some = shared_anchors(anchors)
-    some = some[np.argsort(anchors[some], kind="stable")]
-    held: list[int] = []
+    some = some[np.argsort(anchors[some], kind="stable")].tolist()
+    if not some:
+        return found
+    first, last = candidate_spans([strings[i] for i in some])
+    spans = [(i, a, b) for i, a, b in zip(some, first.tolist(), last.tolist(), strict=True) if a <= b]
+    held: list[tuple[int, int, int]] = []
     size = 0
-    for k, i in enumerate(some.tolist()):
-        if size > TEXT_BYTES and anchors[i] != anchors[held[-1]]:
+    for span in spans:
+        if size > TEXT_BYTES and anchors[span[0]] != anchors[held[-1][0]]:
             _judge(strings, docs, held, found)
             held, size = [], 0
-        held.append(i)
-        size += len(strings[i])
-        if k == len(some) - 1:
-            _judge(strings, docs, held, found)
+        held.append(span)
+        size += span[2] - span[1] + WINDOW
+    if held:
+        _judge(strings, docs, held, found)
     return found
 
 
-def _judge(strings: list[bytes], docs: np.ndarray, held: list[int], found: list[np.ndarray | None]) -> None:
-    lengths = np.array([len(strings[i]) for i in held])
+def _judge(strings: list[bytes], docs: np.ndarray, held: list[tuple[int, int, int]], found: list[np.ndarray | None]) -> None:
+    """held: (string, first and last window to sort)."""
+    parts = [strings[i][a : b + WINDOW] for i, a, b in held]
+    lengths = np.array([len(p) for p in parts])
     begin = np.r_[0, np.cumsum(lengths + 1)[:-1]]
     text = np.zeros(int(lengths.sum()) + len(held), np.int64)  # 0 ends a string, bytes count from 1
     inner = np.ones(len(text), bool)
     inner[begin + lengths] = False
-    text[inner] = np.frombuffer(b"".join(strings[i] for i in held), np.uint8).astype(np.int64) + 1
+    text[inner] = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64) + 1
     order = np.array(suffix_array(text.tolist()), np.int64)
     which = np.repeat(np.arange(len(held)), lengths + 1)
     order = order[order + WINDOW <= (begin + lengths)[which[order]]]  # the places where a whole window starts
@@ -132,12 +157,13 @@ def _judge(strings: list[bytes], docs: np.ndarray, held: list[int], found: list[
         part = order[at - 1 : at + (1 << 16)]
         new[at : at + len(part) - 1] = (rows[part[1:]] != rows[part[:-1]]).any(axis=1)
     first = np.flatnonzero(new)
-    own = docs[held][which[order]]
+    own = docs[[i for i, _, _ in held]][which[order]]
     least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.r_[first, len(order)]))
     repeats = np.zeros(len(text), bool)
     repeats[order] = least < own
-    for k, i in enumerate(held):
-        found[i] = repeats[begin[k] : begin[k] + lengths[k] - WINDOW + 1]
+    for k, (i, a, b) in enumerate(held):
+        found[i] = np.zeros(len(strings[i]) - WINDOW + 1, bool)
+        found[i][a : b + 1] = repeats[begin[k] : begin[k] + b - a + 1]
 
 
 def byte_tokens(text: str | None) -> tuple[np.ndarray, np.ndarray]:
