@@ -185,11 +185,14 @@ class Corpus:
         self.buckets = 4 * self.tasks
 
     def _kept(self, frame: DataFrame, name: str) -> tuple[DataFrame, str]:
-        path = new_folder(self.spark, name)
+        """frame as a written table. Nothing may hold frame after this, so that its shuffle files can go before the next step makes its own."""
+        path, schema = new_folder(self.spark, name), frame.schema
         frame.write.parquet(path)
-        gc.collect()  # frames that are no longer used let go of their shuffle files
-        self.spark.sparkContext._jvm.System.gc()
-        return self.spark.read.schema(frame.schema).parquet(path), path
+        del frame
+        for _ in range(2):  # the first lets go of what the second finds unused
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+        return self.spark.read.schema(schema).parquet(path), path
 
     def _runs(self) -> DataFrame:
         tokens, window, gram, buckets = self.tokens, self.window, self.gram, self.buckets
