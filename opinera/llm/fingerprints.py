@@ -9,7 +9,7 @@ A number holds a gram's hash above its place counted down, so that the plain lea
 and among ties the rightmost. A text with fewer than 5 tokens is one gram; one without tokens is one gram of its white
 space, or none if it is empty. Null texts are empty. DataFrame operations only, linear in the text.
 
-Repeated ids are ordered by a hash of their text; equal rows may stand in for each other. Null ids come last. An empty
+Repeated ids are ordered by a hash of their text; equal rows may stand in for each other. Null ids come last, as the least number. An empty
 table gives no rows; a table of one row is its own next document.
 """
 
@@ -23,6 +23,8 @@ WINDOW = 4
 PRIME = (1 << 31) - 1
 BASE = 1_000_003
 PLACES = 1 << 31
+#: Stands for a null id in keys, so that joins and groupings on keys share one partitioning.
+NULL_ID = -(1 << 63)
 
 
 def _zip(column: str, step: int, f) -> Column:
@@ -72,8 +74,8 @@ def next_keys(spark: SparkSession, docs: DataFrame) -> DataFrame:
     the range before, so no task sees all rows.
     """
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("_id").desc_nulls_last(), F.col("_th").asc()]
-    keys = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"))
+    order = [F.col("_id").desc(), F.col("_th").asc()]
+    keys = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.xxhash64("text").alias("_th"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"))
     keys = staged(spark, keys.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()), "keys")
     inside = Window.partitionBy("_p").orderBy(*order)
     after = F.lead(F.struct(F.col("_id").alias("id"), F.col("_th").alias("th"))).over(inside)
@@ -89,18 +91,18 @@ def next_keys(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def edited_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, chosen, edited, edited_chosen, next_chosen of every document."""
     keys = staged(spark, next_keys(spark, docs), "next")
-    texts = docs.select(F.col("doc_id").alias("_tid"), F.xxhash64("text").alias("_tth"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_tid"), F.xxhash64("text").alias("_tth"), F.coalesce("text", F.lit("")).alias("text"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     # the next document's place sends what its asker needs of it; repeated rows ask and are asked once
     asks = keys.dropDuplicates(["_id", "_th"])
-    same = lambda a, b, c, d: F.col(a).eqNullSafe(F.col(b)) & (F.col(c) == F.col(d))
-    given = asks.join(texts, same("_nid", "_tid", "_nth", "_tth")).dropDuplicates(["_id", "_th"])
-    given = with_fingerprint(given, "text", "next_chosen").select("_id", "_th", "n_chars", F.substring("text", F.lit(1), cut).alias("_head"), hashes("next_chosen").alias("next_hashes"))
-    both = texts.join(given, same("_tid", "_id", "_tth", "_th"))
+    given = with_fingerprint(asks.join(texts, (F.col("_nid") == F.col("_tid")) & (F.col("_nth") == F.col("_tth"))), "text", "next_chosen")
+    # heads and hashes, not texts, go to the askers, once: what repeats is dropped there, where the join wants it too
+    given = given.select("_id", "_th", "n_chars", F.substring("text", F.lit(1), cut).alias("_head"), hashes("next_chosen").alias("next_hashes")).dropDuplicates(["_id", "_th"])
+    both = texts.join(given, (F.col("_tid") == F.col("_id")) & (F.col("_tth") == F.col("_th")))
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")), F.col("_head"))
     both = both.withColumn("edited", edited)
     both = with_fingerprint(with_fingerprint(both, "text", "chosen"), "edited", "edited_chosen")
-    return both.select(F.col("_tid").alias("doc_id"), "n_chars", "edited", "chosen", "edited_chosen", "next_hashes")
+    return both.select(F.nullif("_tid", F.lit(NULL_ID)).alias("doc_id"), "n_chars", "edited", "chosen", "edited_chosen", "next_hashes")
 
 
 def fingerprint_report(spark: SparkSession, docs: DataFrame) -> DataFrame:
