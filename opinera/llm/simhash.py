@@ -81,23 +81,38 @@ def alike(sketches: np.ndarray, a: np.ndarray, b: np.ndarray, likeness: float) -
     return out
 
 
-def fingerprints(docs: DataFrame, id_col: str, width: int, bands: bool) -> DataFrame:
-    """id, fp, keys and sketch. With bands each distinct shingle counts once, as in the likeness of sets."""
+def fingerprints(docs: DataFrame, id_col: str, width: int) -> DataFrame:
+    """id and fp."""
 
     def take(batches):
         for batch in batches:
-            fps, keys, sketches = [], [], []
+            fps = [fingerprint(shingle_hashes(t.as_py(), width)) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(fps, pa.int64())], [id_col, "fp"])
+
+    return docs.select(F.col("text").alias("_text"), id_col).mapInArrow(take, docs.select(id_col).schema.add("fp", "long"))
+
+
+def shingle_set(text: str | None, width: int) -> tuple[np.ndarray, int]:
+    """Sorted distinct hashes, and a signed 64-bit number that stands for them."""
+    hashes = np.unique(shingle_hashes(text, width))
+    return hashes, int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).astype(np.int64))
+
+
+def sketched(docs: DataFrame, id_col: str, width: int) -> DataFrame:
+    """id, th (hash of the text), node (number of its set of shingles), fp, keys and sketch. Each distinct shingle counts once."""
+
+    def take(batches):
+        for batch in batches:
+            nodes, fps, keys, sketches = [], [], [], []
             for t in batch.column(0):
-                hashes = shingle_hashes(t.as_py(), width)
-                hashes = np.unique(hashes) if bands else hashes
-                fps.append(fingerprint(hashes))
-                key, least = sketch(hashes) if bands else ([], b"")
-                keys.append(key)
-                sketches.append(least)
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], [id_col, "fp", "keys", "sketch"])
+                hashes, node = shingle_set(t.as_py(), width)
+                key, least = sketch(hashes)
+                nodes.append(node), fps.append(fingerprint(hashes)), keys.append(key), sketches.append(least)
+            arrays = [pa.array(nodes, pa.int64()), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *arrays], [id_col, "th", "node", "fp", "keys", "sketch"])
 
-    schema = docs.select(id_col).schema.add("fp", "long").add("keys", ArrayType(LongType())).add("sketch", "binary")
-    return docs.select(F.col("text").alias("_text"), id_col).mapInArrow(take, schema)
+    schema = docs.select(id_col).schema.add("th", "long").add("node", "long").add("fp", "long").add("keys", ArrayType(LongType())).add("sketch", "binary")
+    return docs.select(F.col("text").alias("_text"), id_col, F.xxhash64("text").alias("th")).mapInArrow(take, schema)
 
 
 def block_masks(distance: int) -> list[int]:
@@ -145,12 +160,12 @@ class GrayIndex:
         return first, np.searchsorted(self.starts[level + 1], ends[node + 1]) - first
 
     def links(self, distance: int):
-        """Pairs of places (in the order given) of distinct fingerprints of a group within distance, in chunks."""
+        """Pairs of places (in the order given) of rows of a group whose fingerprints are within distance, in chunks."""
         roots = np.arange(len(self.starts[0]))
         work = [(0, roots, roots, np.zeros(len(roots), np.int64))]
         while work:
             level, a, b, diff = work.pop()
-            if level == BITS // 8:
+            if level == len(self.starts) - 1:
                 apart = a != b
                 yield self.order[self.starts[level][a[apart]]], self.order[self.starts[level][b[apart]]]
                 continue
@@ -163,81 +178,163 @@ class GrayIndex:
             pair = np.repeat(np.arange(len(a)), sizes)
             k = np.arange(len(pair)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             x, y = fa[pair] + k // nb[pair], fb[pair] + k % nb[pair]
-            shift = np.uint64(BITS - 8 * (level + 1))
-            left = (self.fps[self.starts[level + 1][x]] ^ self.fps[self.starts[level + 1][y]]) >> shift & np.uint64(255)
-            now = diff[pair] + np.bitwise_count(left)
+            now = diff[pair]
+            if level < BITS // 8:
+                shift = np.uint64(BITS - 8 * (level + 1))
+                left = (self.fps[self.starts[level + 1][x]] ^ self.fps[self.starts[level + 1][y]]) >> shift & np.uint64(255)
+                now = now + np.bitwise_count(left)
             keep = (now <= distance) & ((a[pair] != b[pair]) | (x <= y))
             if keep.any():
                 work.append((level + 1, x[keep], y[keep], now[keep]))
 
 
 def by_blocks(rows: DataFrame, distance: int) -> DataFrame:
-    """fp, block, key, sketch (none): fingerprints within distance share a row's block and key for certain."""
+    """node and fp (the same), block, key, sketch (none): fingerprints within distance share a row's block and key for certain."""
     masks = [m if m < 1 << 63 else m - (1 << 64) for m in block_masks(distance)]
     places = F.array(*(F.struct(F.lit(i).alias("block"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)))
-    return rows.select("fp").distinct().select("fp", F.explode(places).alias("p")).select("fp", "p.block", "p.key", F.lit(None).cast("binary").alias("sketch"))
+    return rows.select("fp").distinct().select("fp", F.explode(places).alias("p")).select(F.col("fp").alias("node"), "fp", "p.block", "p.key", F.lit(None).cast("binary").alias("sketch"))
 
 
 def by_bands(rows: DataFrame) -> DataFrame:
-    return rows.select("fp", "keys", "sketch").distinct().select("fp", F.posexplode("keys").alias("block", "key"), "sketch")
+    return rows.select("node", "fp", "keys", "sketch").distinct().select("node", "fp", F.posexplode("keys").alias("block", "key"), "sketch")
 
 
 def fingerprint_links(placed: DataFrame, distance: int, likeness: float | None = None) -> DataFrame:
-    """u, v (fingerprints) that join all fingerprints of a block and key linked at distance, as a forest a task.
+    """u, v (nodes) that join all rows of a block and key linked at distance, as a forest a task.
 
     With likeness, sketches have to agree to that share too.
     """
-    dealt = placed.select("fp", "block", "key", "sketch").repartition("block", "key")
+    dealt = placed.select("node", "fp", "block", "key", "sketch").repartition("block", "key")
 
     def link(batches):
         table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
         if table is None or not len(table):
             return
-        fps, block, key = (table.column(i).to_numpy() for i in range(3))
+        nodes, fps, block, key = (table.column(i).to_numpy() for i in range(4))
         order = np.lexsort((key, block))
-        fps, block, key = fps[order], block[order], key[order]
+        nodes, fps, block, key = nodes[order], fps[order], block[order], key[order]
         new = np.r_[True, (block[1:] != block[:-1]) | (key[1:] != key[:-1])]
         group = np.cumsum(new) - 1
         many = np.bincount(group)[group] > 1  # alone in a block: nothing to link there
-        fps, group = fps[many], group[many]
+        nodes, fps, group = nodes[many], fps[many], group[many]
         if likeness is not None:
-            kept = table.column(3).take(pa.array(order[many])).to_pylist()
+            kept = table.column(4).take(pa.array(order[many])).to_pylist()
             sketches = np.frombuffer(b"".join(kept), np.uint8).reshape(len(kept), SKETCH)
         label = np.arange(len(fps))
         for a, b in GrayIndex(group, fps.view(np.uint64)).links(distance):
             if likeness is not None:
+                apart = label[a] != label[b]
+                a, b = a[apart], b[apart]
                 near = alike(sketches, a, b, likeness)
                 a, b = a[near], b[near]
             label = _merged(label, a, b)
         moved = np.flatnonzero(label != np.arange(len(fps)))
         if len(moved):
-            yield pa.RecordBatch.from_arrays([pa.array(fps[moved]), pa.array(fps[label[moved]])], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[label[moved]])], ["u", "v"])
 
     return dealt.mapInArrow(link, "u long, v long")
 
 
-def near_groups(spark: SparkSession, docs: DataFrame, width: int = 3, distance: int = 2, id_col: str = "doc_id", likeness: float | None = None) -> DataFrame:
-    """id, fp and component_id (the least id reachable) of every row of docs.
-
-    Without likeness every pair within distance is linked. With it, for distances that blocks are too short for, those
-    pairs within distance are linked that share a band key and whose sketches agree to that share.
-    """
-    bands = likeness is not None
-    rows = staged(spark, fingerprints(docs, id_col, width, bands), "fingerprints")
-    roots = smallest_reachable(spark, fingerprint_links(by_bands(rows) if bands else by_blocks(rows, distance), distance, likeness))
-    distinct = rows.groupBy("fp").agg(F.min(id_col).alias("least"))
-    classes = distinct.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select("fp", "least", F.coalesce("v", "fp").alias("root"))
+def _least_ids(spark: SparkSession, rows: DataFrame, roots: DataFrame, node: str, id_col: str) -> DataFrame:
+    """node and component_id: the least id of the rows whose nodes have one root (u, v in roots; a node without is its own)."""
+    distinct = rows.groupBy(node).agg(F.min(id_col).alias("least"))
+    classes = distinct.join(roots.withColumnRenamed("u", node), node, "left").select(node, "least", F.coalesce("v", node).alias("root"))
     classes = staged(spark, classes, "classes")
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.select(id_col, "fp").join(classes.join(least, "root").select("fp", "component_id"), "fp").select(id_col, "fp", "component_id")
+    return classes.join(least, "root").select(node, "component_id")
+
+
+def near_groups(spark: SparkSession, docs: DataFrame, width: int = 3, distance: int = 2, id_col: str = "doc_id") -> DataFrame:
+    """id, fp and component_id (the least id reachable) of every row of docs; every pair within distance is linked."""
+    rows = staged(spark, fingerprints(docs, id_col, width), "fingerprints")
+    roots = smallest_reachable(spark, fingerprint_links(by_blocks(rows, distance), distance))
+    return rows.join(_least_ids(spark, rows, roots, "fp", id_col), "fp").select(id_col, "fp", "component_id")
+
+
+def _classes(sets: list[np.ndarray], sketches: np.ndarray, likeness: float, loose: float) -> np.ndarray:
+    """A label a set: the least place that it reaches by exact likenesses (Jaccard) of at least likeness.
+
+    Pairs that are linked already, whose sizes rule the likeness out or whose sketches don't agree to loose aren't counted out.
+    """
+    n = len(sets)
+    sizes, label = np.array([len(x) for x in sets]), np.arange(n)
+    for i in range(n - 1):
+        left = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
+        left = left[np.minimum(sizes[left], sizes[i]) >= likeness * np.maximum(sizes[left], sizes[i])]
+        left = left[alike(sketches, np.full(len(left), i), left, loose)]
+        while len(left):
+            one, left = left[:64], left[64:]
+            flat = np.concatenate([sets[j] for j in one])
+            place = np.minimum(np.searchsorted(sets[i], flat), sizes[i] - 1)
+            shared = np.add.reduceat((sets[i][place] == flat).astype(np.int64), np.cumsum(sizes[one]) - sizes[one])
+            for j in one[shared >= likeness * (sizes[one] + sizes[i] - shared) - 1e-9]:
+                low, high = sorted((label[i], label[j]))
+                label[label == high] = low
+            left = left[label[left] != label[i]]
+    return label
+
+
+def confirmed(docs: DataFrame, rows: DataFrame, loosely: DataFrame, width: int, id_col: str, likeness: float, loose: float) -> DataFrame:
+    """u, v (nodes): v is the least of the nodes that u reaches by exact likenesses, inside its loose component (u, v in loosely).
+
+    Sets of shingles are made once for a text of each node in a component, and each travels once, to its component's place.
+    """
+    members = loosely.unionAll(loosely.select(F.col("v").alias("u"), "v")).distinct().withColumnsRenamed({"u": "node", "v": "root"})
+    one = rows.join(members, "node").groupBy("node", "root").agg(F.max(F.struct(F.col(id_col).alias("id"), "th")).alias("r"))
+    one = one.select("root", F.col("r.id").alias("_id"), F.col("r.th").alias("_th"), F.col("node").alias("_node"))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64("text").alias("th"), "text")
+    found = texts.join(one, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "root", "_node")
+
+    def take(batches):
+        for batch in batches:
+            nodes, sketches, sets = [], [], []
+            for t in batch.column(0):
+                hashes, node = shingle_set(t.as_py(), width)
+                nodes.append(node), sketches.append(sketch(hashes)[1]), sets.append(hashes.tobytes())
+            made = pa.RecordBatch.from_arrays([batch.column(1), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(sets, pa.binary())], ["root", "node", "sketch", "set"])
+            yield made.filter(pa.array(np.array(nodes) == batch.column(2).to_numpy(), pa.bool_()))  # of unlike texts with one hash
+
+    def close(held):
+        nodes = sorted(held)
+        sketches = np.frombuffer(b"".join(held[k][0] for k in nodes), np.uint8).reshape(len(nodes), SKETCH)
+        label = _classes([np.frombuffer(held[k][1], "<u8") for k in nodes], sketches, likeness, loose)
+        moved = np.flatnonzero(label != np.arange(len(nodes)))
+        ids = np.array(nodes, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[label[moved]])], ["u", "v"])
+
+    def confirm(batches):
+        root, held = None, {}
+        for batch in batches:
+            for r, node, least, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if r != root:
+                    if len(held) > 1:
+                        yield close(held)
+                    root, held = r, {}
+                held[node] = least, hashes
+        if len(held) > 1:
+            yield close(held)
+
+    sets = found.mapInArrow(take, "root long, node long, sketch binary, set binary")
+    return sets.repartition("root").sortWithinPartitions("root").mapInArrow(confirm, "u long, v long")
+
+
+def alike_groups(spark: SparkSession, docs: DataFrame, width: int, distance: int, likeness: float, loose: float, id_col: str = "doc_id") -> DataFrame:
+    """id and component_id (the least id reachable) of every row of docs; texts are linked whose sets of shingles have that likeness.
+
+    Candidates share a band key, have fingerprints within distance and sketches that agree to loose; in the components that
+    these make, exact likenesses decide.
+    """
+    rows = staged(spark, sketched(docs, id_col, width), "sketches")
+    loosely = smallest_reachable(spark, fingerprint_links(by_bands(rows), distance, loose))
+    roots = staged(spark, confirmed(docs, rows, loosely, width, id_col, likeness, loose), "roots")
+    return rows.select(id_col, "node").join(_least_ids(spark, rows, roots, "node", id_col), "node").select(id_col, "component_id")
 
 
-def keep_one_each(spark: SparkSession, docs: DataFrame, width: int = 5, distance: int = 16, likeness: float = 0.75) -> DataFrame:
+def keep_one_each(spark: SparkSession, docs: DataFrame, width: int = 5, distance: int = 16, likeness: float = 0.8, loose: float = 0.6) -> DataFrame:
     """docs without those that a document with a smaller id is near to, directly or through others.
 
-    Five-word shingles. Texts of a likeness of 0.8 and more are within 16 bits of 64 and share a key of ten in nearly
-    all cases; sketches then tell them from less alike ones, with an error of about 0.035. Rows with a null id stay.
+    Near are sets of five-word shingles of a Jaccard of 0.8 and more, counted out exactly. Rows with a null id stay.
     """
-    groups = near_groups(spark, docs, width, distance, likeness=likeness)
+    groups = alike_groups(spark, docs, width, distance, likeness, loose)
     gone = staged(spark, groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -305,6 +305,30 @@ def test_near_dedup_keeps_one(spark, hard):
     assert simhash.keep_one_each(spark, hard).columns == hard.columns
 
 
+def _shingle_likeness(a, b):
+    a, b = (set(simhash.shingle_hashes(t, 5).tolist()) for t in (a, b))
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def _kept_by_brute_force(texts, pairs):
+    near = {p for p in pairs if _shingle_likeness(texts[p[0]], texts[p[1]]) >= 0.8}
+    return sorted(set(texts) - {b for _, b in near})
+
+
+def test_near_dedup_is_exact_around_the_threshold(spark):
+    rng, texts, pairs = random.Random(5), {}, []
+    for i in range(160):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(204)]
+        other = words.copy()
+        other[204 - 18 - i % 12 :] = [f"x{rng.randrange(10**6)}" for _ in range(18 + i % 12)]  # 0.74 to 0.84
+        texts[2 * i], texts[2 * i + 1] = " ".join(words), " ".join(other)
+        pairs.append((2 * i, 2 * i + 1))
+    likes = [_shingle_likeness(texts[a], texts[b]) for a, b in pairs]
+    assert min(likes) < 0.76 and max(likes) > 0.82
+    kept = simhash.keep_one_each(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    assert sorted(r[0] for r in kept.collect()) == _kept_by_brute_force(texts, pairs)
+
+
 def test_secrets(spark, hard, empty):
     for frame in (hard,):
         for r in secrets.scan_documents(frame, ["doc_id", "text"]).collect():
