@@ -25,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one_each(_batches(spark), docs, width=5, distance=16, likeness=0.8)
+    return simhash.keep_one_each(_batches(spark), docs, width=5, distance=28, likeness=0.8)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

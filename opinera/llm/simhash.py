@@ -330,7 +330,7 @@ def alike_groups(spark: SparkSession, docs: DataFrame, width: int, distance: int
     return rows.select(id_col, "node").join(_least_ids(spark, rows, roots, "node", id_col), "node").select(id_col, "component_id")
 
 
-def keep_one_each(spark: SparkSession, docs: DataFrame, width: int = 5, distance: int = 16, likeness: float = 0.8, loose: float = 0.6) -> DataFrame:
+def keep_one_each(spark: SparkSession, docs: DataFrame, width: int = 5, distance: int = 28, likeness: float = 0.8, loose: float = 0.6) -> DataFrame:
     """docs without those that a document with a smaller id is near to, directly or through others.
 
     Near are sets of five-word shingles of a Jaccard of 0.8 and more, counted out exactly. Rows with a null id stay.

@@ -329,6 +329,18 @@ def test_near_dedup_is_exact_around_the_threshold(spark):
     assert sorted(r[0] for r in kept.collect()) == _kept_by_brute_force(texts, pairs)
 
 
+def test_near_dedup_finds_short_copies(spark):
+    rng, texts, pairs = random.Random(6), {}, []
+    for i in range(300):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(9)]
+        texts[2 * i], texts[2 * i + 1] = " ".join(words), " ".join(words[:-1])  # 4 of 5 shingles
+        pairs.append((2 * i, 2 * i + 1))
+    bits = [(simhash.fingerprint(simhash.shingle_hashes(texts[a], 5)) ^ simhash.fingerprint(simhash.shingle_hashes(texts[b], 5))) & (1 << 64) - 1 for a, b in pairs]
+    assert sum(b.bit_count() > 16 for b in bits) > 5
+    kept = simhash.keep_one_each(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    assert sorted(r[0] for r in kept.collect()) == _kept_by_brute_force(texts, pairs)
+
+
 def test_secrets(spark, hard, empty):
     for frame in (hard,):
         for r in secrets.scan_documents(frame, ["doc_id", "text"]).collect():
