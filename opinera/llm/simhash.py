@@ -153,6 +153,11 @@ class GrayIndex:
             new = new.copy()
             new[1:] |= lead[1:] != lead[:-1]
             self.starts.append(np.flatnonzero(new))
+        # rows of one fingerprint are leaves of their own, at most 256 of them or of their runs a node
+        at = np.arange(len(fps)) - self.starts[-1][np.cumsum(new) - 1]
+        for size in (1 << 16, 1 << 8, 1):
+            if (at >= size).any():
+                self.starts.append(np.flatnonzero(at % size == 0))
 
     def _children(self, level: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ends = np.append(self.starts[level], len(self.fps))

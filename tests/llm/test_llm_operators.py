@@ -341,6 +341,14 @@ def test_near_dedup_finds_short_copies(spark):
     assert sorted(r[0] for r in kept.collect()) == _kept_by_brute_force(texts, pairs)
 
 
+def test_gray_index_pairs_every_row_of_a_fingerprint():
+    fps = np.array([5] * 300 + [4, 4, 1 << 40], np.uint64)
+    got = []
+    for a, b in simhash.GrayIndex(np.zeros(len(fps), np.int64), fps).links(1):
+        got += [(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+    assert len(got) == len(set(got)) and set(got) == {(i, j) for i in range(302) for j in range(i + 1, 302)}
+
+
 def test_secrets(spark, hard, empty):
     for frame in (hard,):
         for r in secrets.scan_documents(frame, ["doc_id", "text"]).collect():
