@@ -14,6 +14,7 @@ a null in one, aren't learned from; with no labelled rows every score is 0.5. An
 import re
 import uuid
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +26,8 @@ DIM = 8
 GRAMS = (3, 4, 5)
 EPOCHS = 10
 RATE = 0.5
-#: The fit's bound: at most so many labelled rows, and so many leading words of each (fitting only; scores take whole texts).
+#: The fit's bound: at most so many labelled rows, each with its whole text.
 SAMPLE_ROWS = 6000
-SAMPLE_WORDS = 300
 #: Words a worker keeps.
 MEMO_WORDS = 600_000
 
@@ -43,6 +43,25 @@ def word_features(word: str) -> list[int]:
     return found
 
 
+def feature_bag(text: str | None, memo: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the features of a whole text and the share of each; memo keeps those of words."""
+    words = Counter(_WORD.findall((text or "").lower()))
+    if not words:
+        return np.empty(0, np.int32), np.empty(0, np.float32)
+    parts = []
+    for w in words:
+        found = memo.get(w)
+        if found is None:
+            found = np.array(word_features(w), np.int32)
+            if len(memo) < MEMO_WORDS and len(w) <= 40:
+                memo[w] = found
+        parts.append(found)
+    times = np.repeat(list(words.values()), [len(x) for x in parts])
+    ids, at = np.unique(np.concatenate(parts), return_inverse=True)
+    n = np.bincount(at, times)
+    return ids, (n / n.sum()).astype(np.float32)
+
+
 class Model:
     """share: what each feature adds to the logit of toxic; bias: the logit of a text without words."""
 
@@ -103,22 +122,15 @@ def _calibration(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(texts: list[str | None], labels: list[int], seed: int = 11) -> Model:
+    memo: dict[str, np.ndarray] = {}
+    return fit_bags([feature_bag(t, memo) for t in texts], labels, seed)
+
+
+def fit_bags(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], seed: int = 11) -> Model:
     """Trains on all rows, and on each half to see what logits unseen rows get; those set the scale and the threshold."""
     if len(set(labels)) < 2:
         return Model(np.zeros(BUCKETS), 0.0 if not labels else (4.0 if labels[0] else -4.0))
-    memo: dict[str, np.ndarray] = {}
-
-    def bag(text):
-        words = _WORD.findall((text or "").lower())[:SAMPLE_WORDS]
-        for w in words:
-            if w not in memo:
-                memo[w] = np.array(word_features(w), np.int32)
-        if not words:
-            return np.empty(0, np.int32), np.empty(0, np.float32)
-        ids, n = np.unique(np.concatenate([memo[w] for w in words]), return_counts=True)
-        return ids, (n / n.sum()).astype(np.float32)
-
-    bags, y = [bag(t) for t in texts], np.array(labels)
+    y = np.array(labels)
     unseen = np.zeros(len(y))
     half = np.random.default_rng(seed).permutation(len(y)) % 2
     for side in (0, 1):
@@ -140,9 +152,18 @@ def fit_on(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     ids = chosen.collect()  # bounded by sample_rows
     rows = docs.select("doc_id", "text").join(F.broadcast(docs.sparkSession.createDataFrame(ids, chosen.schema)), "doc_id")
-    head = F.substring("text", 1, SAMPLE_WORDS * 12)
-    sample = sorted(rows.select("doc_id", head.alias("text"), "toxic").dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])
-    return fit([r["text"] for r in sample], [int(r["toxic"]) for r in sample])
+
+    def bags(batches):
+        memo: dict[str, np.ndarray] = {}
+        for batch in batches:
+            made = [feature_bag(t.as_py(), memo) for t in batch.column(0)]
+            packed = [pa.array([b[k].tobytes() for b in made], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *packed], ["doc_id", "toxic", "places", "weights"])
+
+    schema = rows.select("doc_id", "toxic").schema.add("places", "binary").add("weights", "binary")
+    made = rows.select("text", "doc_id", "toxic").mapInArrow(bags, schema)
+    sample = sorted(made.dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])  # a bag a sampled row, no texts
+    return fit_bags([(np.frombuffer(r["places"], np.int32), np.frombuffer(r["weights"], np.float32)) for r in sample], [int(r["toxic"]) for r in sample])
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:

@@ -393,6 +393,21 @@ def test_toxicity(spark, hard, empty):
     assert toxicity.toxic_scores(spark, hard, labels.limit(0)).where("score <> 0.5").count() == 0 and toxicity.toxic_scores(spark, empty, labels).count() == 0
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(300)]
+    rows = []
+    for i in range(300):
+        words = rng.choices(vocabulary, k=900)
+        if toxic := i % 3 == 0:
+            words[700:] = [rng.choice(["horrible", "disgusting", "worthless"]) for _ in range(200)]  # late only
+        rows.append((i, " ".join(words), int(toxic)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_on(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    kept_out = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    assert np.mean([(model.score(t) >= 0.5) == y for _, t, y in kept_out]) > 0.95
+
+
 def test_pipeline_stages(spark, plain):
     docs = plain
     for name, stage in corpus_pipeline.STAGES[:-1]:
