@@ -9,8 +9,9 @@ A number holds a gram's hash above its place counted down, so that the plain lea
 and among ties the rightmost. A text with fewer than 5 tokens is one gram; one without tokens is one gram of its white
 space, or none if it is empty. Null texts are empty. DataFrame operations only, linear in the text.
 
-Repeated ids are ordered by a hash of their text; equal rows may stand in for each other. Null ids come last, as the least number. An empty
-table gives no rows; a table of one row is its own next document.
+Repeated ids are ordered by a hash of their text. Of rows equal in id and text, one is followed by the next document and
+each other by its own copy. Null ids come last, as the least number. An empty table gives no rows; a table of one row is
+its own next document. Other columns are not read.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -68,7 +69,7 @@ def likeness(a: str, b: str) -> Column:
 
 
 def next_keys(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """_id, _th, n_chars, _nid, _nth: each row's key, length and the key of the next by falling id; the last row's next is the first.
+    """_id, _th, n_chars, _copies, _nid, _nth: each distinct row's key, length and how often it is there, and the key of the next by falling id; the last one's next is the first.
 
     Holds numbers only. Ranges of ids are ordered on their own, and the first of each range is the next of the last of
     the range before, so no task sees all rows.
@@ -76,6 +77,7 @@ def next_keys(spark: SparkSession, docs: DataFrame) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("_id").desc(), F.col("_th").asc()]
     keys = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.xxhash64("text").alias("_th"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"))
+    keys = keys.groupBy("_id", "_th", "n_chars").agg(F.count("*").alias("_copies"))
     keys = staged(spark, keys.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()), "keys")
     inside = Window.partitionBy("_p").orderBy(*order)
     after = F.lead(F.struct(F.col("_id").alias("id"), F.col("_th").alias("th"))).over(inside)
@@ -85,27 +87,31 @@ def next_keys(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ring = heads.withColumn("_following", F.coalesce(F.lead("_head").over(Window.orderBy("_hp")), F.first("_head").over(Window.orderBy("_hp").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
     both = linked.join(F.broadcast(ring), F.col("_p") == F.col("_hp"))  # as many rows as shuffle partitions
     following = F.coalesce("_next", "_following")
-    return both.select("_id", "_th", "n_chars", following["id"].alias("_nid"), following["th"].alias("_nth"))
+    return both.select("_id", "_th", "n_chars", "_copies", following["id"].alias("_nid"), following["th"].alias("_nth"))
 
 
 def edited_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, chosen, edited, edited_chosen, next_chosen of every document."""
+    """doc_id, n_chars, edited, chosen, edited_chosen, next_hashes of every document."""
     keys = staged(spark, next_keys(spark, docs), "next")
     texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_tid"), F.xxhash64("text").alias("_tth"), F.coalesce("text", F.lit("")).alias("text"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     # the next document's place sends what its asker needs of it; repeated rows ask and are asked once
-    asks = keys.dropDuplicates(["_id", "_th"])
-    given = with_fingerprint(asks.join(texts, (F.col("_nid") == F.col("_tid")) & (F.col("_nth") == F.col("_tth"))), "text", "next_chosen")
+    given = with_fingerprint(keys.join(texts, (F.col("_nid") == F.col("_tid")) & (F.col("_nth") == F.col("_tth"))), "text", "next_chosen")
     # heads and hashes, not texts, go to the askers, once: what repeats is dropped there, where the join wants it too
-    given = given.select("_id", "_th", "n_chars", F.substring("text", F.lit(1), cut).alias("_head"), hashes("next_chosen").alias("next_hashes")).dropDuplicates(["_id", "_th"])
+    given = given.select("_id", "_th", "n_chars", "_copies", F.substring("text", F.lit(1), cut).alias("_head"), hashes("next_chosen").alias("next_hashes")).dropDuplicates(["_id", "_th"])
     both = texts.join(given, (F.col("_tid") == F.col("_id")) & (F.col("_tth") == F.col("_th")))
-    edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")), F.col("_head"))
-    both = both.withColumn("edited", edited)
+    # the join has brought equal rows together already; each but the last is followed by its copy
+    last = (F.col("_copies") == 1) | (F.row_number().over(Window.partitionBy("_id", "_th").orderBy("_id")) == F.col("_copies"))
+    both = both.withColumn("_last", last)
+    head = F.when(F.col("_last"), F.col("_head")).otherwise(F.substring("text", F.lit(1), cut))
+    both = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")), head))
     both = with_fingerprint(with_fingerprint(both, "text", "chosen"), "edited", "edited_chosen")
+    both = both.withColumn("next_hashes", F.when(F.col("_last"), F.col("next_hashes")).otherwise(hashes("chosen")))
     return both.select(F.nullif("_tid", F.lit(NULL_ID)).alias("doc_id"), "n_chars", "edited", "chosen", "edited_chosen", "next_hashes")
 
 
 def fingerprint_report(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The digests of edited_documents(). places: where the text's chosen grams start, in tokens, repeated hashes included."""
     rows = edited_documents(spark, docs).withColumns({"_h": hashes("chosen"), "_e": hashes("edited_chosen")})
     shown = lambda c: F.array_join(F.transform(c, lambda x: F.hex(x)), " ")
     return rows.select(
@@ -114,6 +120,7 @@ def fingerprint_report(spark: SparkSession, docs: DataFrame) -> DataFrame:
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         shown("_h").alias("fingerprint"),
         shown("_e").alias("edited_fingerprint"),
+        F.array_join(places("chosen"), " ").alias("places"),
         likeness("_h", "_e").alias("near_edited"),
         likeness("_h", "next_hashes").alias("near_next"),
     )
