@@ -7,8 +7,9 @@ softmax reads it. Both are trained together by stochastic gradient descent on a
 Since mean and softmax are linear, a feature's share in the logit is one number, and a word's share is the sum over its
 features. Scoring keeps those per word, so whole texts of any length take one lookup a word.
 
-Null and empty texts get the score of the bias alone. Repeated ids are rows of their own. Rows without a label, or with
-a null in one, aren't learned from; with no labelled rows every score is 0.5. An empty table gives no rows.
+Null and empty texts get the score of the bias alone. Repeated ids are rows of their own; of a labelled id's texts, the
+one with the least hash is learned from. Rows without a label, or with a null in one, aren't learned from; with no
+labelled rows every score is 0.5. An empty table gives no rows. Columns of documents may have any names.
 """
 
 import re
@@ -152,6 +153,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     ids = chosen.collect()  # bounded by sample_rows
     rows = docs.select("doc_id", "text").join(F.broadcast(docs.sparkSession.createDataFrame(ids, chosen.schema)), "doc_id")
+    # a text an id, before anything is collected
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
 
     def bags(batches):
         memo: dict[str, np.ndarray] = {}
@@ -162,24 +165,23 @@ def fit_on(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
 
     schema = rows.select("doc_id", "toxic").schema.add("places", "binary").add("weights", "binary")
     made = rows.select("text", "doc_id", "toxic").mapInArrow(bags, schema)
-    sample = sorted(made.dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])  # a bag a sampled row, no texts
+    sample = sorted(made.collect(), key=lambda r: r["doc_id"])  # a bag a sampled row, no texts
     return fit_bags([(np.frombuffer(r["places"], np.int32), np.frombuffer(r["weights"], np.float32)) for r in sample], [int(r["toxic"]) for r in sample])
 
 
-def score_documents(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
-    """The columns in keep and the score, under a name that none of them has."""
+def score_documents(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """row (a struct of the columns in keep, so that no name can clash) and score."""
     sent = spark.sparkContext.broadcast((model.share.astype(np.float32), model.bias))  # fixed size
     mark = uuid.uuid4().hex
 
-    schema = docs.select(*keep).schema
-
+    rows = docs.select(F.col("text").alias("text"), F.struct(*keep).alias("row"))
     def score(batches):
         local = _local(mark, sent)
         for batch in batches:
             scores = [local.score(t.as_py()) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], [*keep, name])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(scores, pa.float64())], ["row", "score"])
 
-    return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(score, schema.add(name, "double"))
+    return rows.mapInArrow(score, rows.select("row").schema.add("score", "double"))
 
 
 _models: dict[str, Model] = {}
@@ -196,11 +198,10 @@ def _local(name: str, sent) -> Model:
 
 def keep_clean(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without those that score 0.5 or more."""
-    scored = score_documents(spark, docs, fit_on(docs, labels), docs.columns, "_toxic_score")
-    return scored.where("_toxic_score < 0.5").select(*docs.columns)
+    return score_documents(spark, docs, fit_on(docs, labels), docs.columns).where("score < 0.5").select("row.*")
 
 
 def toxic_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    scored = score_documents(spark, docs, fit_on(docs, labels), ["doc_id"])
+    scored = score_documents(spark, docs, fit_on(docs, labels), ["doc_id"]).select("row.doc_id", "score")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
