@@ -1,13 +1,15 @@
 """Benchmark decontamination: test n-grams as a broadcast hash set, training windows scanned against it, hits verified.
 
 Words are runs of letters, digits and non-ASCII characters, with A-Z lower-cased and nothing else changed. A window is
-13 consecutive words of an item; an item with fewer, but some, is one window. Each window is known by the hash of its
-first words (three, or all of a shorter one). Every place of every document is hashed the same way and looked up; what
-matches is verified word by word, so hash collisions never show.
+13 consecutive words of an item; an item with fewer, but some, is one window. A window's hash comes from hashes of its
+words, joined by doubling lengths, so a document's windows of all places cost a few passes over its words. The hash set
+of the test windows is broadcast where its size in bytes, which is counted first, is within a limit; beyond it, it is
+dealt out. Every place of every document is looked up, and what matches is verified word by word at once, so hash
+collisions never show and only true hits move.
 
 Null texts have no words and no hits. Repeated items count one by one; null item ids are left out of the lists. Repeated
-documents get the same result each. Empty tables: no rows, or no hits. Other columns of documents are untouched.
-DataFrame operations only.
+documents get the same result each. Empty tables: no rows, or no hits. Columns of documents may have any names: they
+travel as one struct. DataFrame operations only.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +18,8 @@ from pyspark.sql import functions as F
 from opinera.sources.staging import staged
 
 WINDOW = 13
-HEAD = 3
-#: Rows of windows up to which their heads (three numbers each) are broadcast; beyond, the join shuffles.
-BROADCAST_ROWS = 2_000_000
+#: Bytes of test windows (hashes, words, item ids) up to which they are broadcast; beyond, the join deals them out.
+BROADCAST_BYTES = 64 << 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Java classes of what separates words, before and after lower-casing.
@@ -33,55 +34,70 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(lowered, _BREAK), ""), F.array().cast("array<string>"))
 
 
+def gram_hashes(rows: DataFrame, words: str, length: int, name: str) -> DataFrame:
+    """rows with the array `name`: a 64-bit hash of each `length` consecutive words; empty for fewer words."""
+    made: list[str] = []
+
+    def joined(rows, a, b, step, name):
+        n = F.greatest(F.size(b) - step, F.lit(0))
+        out = rows.withColumn(name, F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(1 + step), n), lambda x, y: F.xxhash64(x, y)))
+        made.append(name)
+        return out
+
+    power, size, done, covered = f"{name}_1", 1, None, 0
+    rows = rows.withColumn(power, F.transform(words, lambda w: F.xxhash64(w)))
+    made.append(power)
+    while True:
+        if length & size:
+            if done is None:
+                done, covered = power, size
+            else:
+                rows, done, covered = joined(rows, done, power, covered, f"{name}_{covered + size}_all"), f"{name}_{covered + size}_all", covered + size
+        if 2 * size > length:
+            break
+        rows, power, size = joined(rows, power, power, size, f"{name}_{2 * size}"), f"{name}_{2 * size}", 2 * size
+    return rows.withColumn(name, F.col(done)).drop(*made)
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """wid, win (words), len, items (ids that have it, as strings), head (hash), depth (words in the hash)."""
+    """win (words), len, items (ids that have it, as strings)."""
     words = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("w")).where(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - (window - 1), F.lit(1)))
     each = words.select("item", "w", F.explode(starts).alias("at")).select("item", F.slice("w", F.col("at"), window).alias("win"))
     one = each.groupBy("win").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    depth = F.least(F.size("win"), F.lit(HEAD))
-    head = F.xxhash64(*(F.get("win", F.lit(i)) for i in range(HEAD)))
-    return one.select(F.xxhash64("win").alias("wid"), "win", F.size("win").alias("len"), "items", head.alias("head"), depth.alias("depth"))
-
-
-def _head_of(depth: int):
-    """The hash of the words that begin a window, as windows have it."""
-    none = F.lit(None).cast("string")
-    return lambda w, i: F.xxhash64(w, *(F.get("w", i + k) if k < depth else none for k in range(1, HEAD)))
+    return one.select("win", F.size("win").alias("len"), "items")
 
 
 def hits(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs with _words, _hits (places of hit words, ascending) and _items (ids of items with a window here)."""
+    """row (a struct of docs' columns), words, hits (places of hit words, ascending) and items (ids of items with a window here)."""
     windows = staged(spark, benchmark_windows(benchmark, window), "windows")
-    depths = {r["depth"]: r["n"] for r in windows.groupBy("depth").agg(F.count("*").alias("n")).collect()}  # three rows at most
-    key = (F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"))
-    words = docs.select(*key, words_of(F.col("text")).alias("w"))
+    size = F.sum(F.octet_length(F.concat_ws(" ", "win")) + F.octet_length(F.concat_ws(" ", "items")) + 8 * (F.size("win") + F.size("items")) + 64)
+    lengths = {r["len"]: r["bytes"] for r in windows.groupBy("len").agg(size.alias("bytes")).collect()}  # `window` rows at most
+    rows = docs.select(F.struct("*").alias("row"))
+    texts = rows.select(F.col("row.doc_id").alias("id"), F.xxhash64("row.text").alias("th"), words_of(F.col("row.text")).alias("w"))
     found = None
-    for depth in sorted(depths):
-        hashed = words.select("_id", "_th", F.transform("w", _head_of(depth)).alias("h"))
+    for length in sorted(lengths):
         # outer: the filter that Spark infers from a plain one would hash every place once more, inside the lambda
-        places = hashed.select("_id", "_th", F.posexplode_outer("h").alias("pos", "head"))
-        heads = windows.where(F.col("depth") == depth).select("head", "win", "len", "items")
-        heads = F.broadcast(heads) if sum(depths.values()) <= BROADCAST_ROWS else heads
-        one = places.join(heads, "head").select("_id", "_th", F.struct("pos", "len", "win", "items").alias("c"))
+        places = gram_hashes(texts, "w", length, "h").select("id", "th", "w", F.posexplode_outer("h").alias("pos", "hash"))
+        tests = gram_hashes(windows.where(F.col("len") == length), "win", length, "h").select(F.get("h", F.lit(0)).alias("hash"), "win", "items")
+        tests = F.broadcast(tests) if sum(lengths.values()) <= BROADCAST_BYTES else tests
+        true = F.slice("w", F.col("pos") + 1, length) == F.col("win")
+        one = places.join(tests, "hash").where(true).select("id", "th", F.struct("pos", F.lit(length).alias("len")).alias("at"), "items")
         found = one if found is None else found.unionAll(one)
+    both = rows.withColumns({"id": F.col("row.doc_id"), "th": F.xxhash64("row.text"), "words": words_of(F.col("row.text"))})
     if found is None:
-        none = F.array().cast("array<int>")
-        return docs.withColumns({"_words": words_of(F.col("text")), "_hits": none, "_items": F.array().cast("array<string>")})
-    candidates = found.groupBy("_id", "_th").agg(F.collect_set("c").alias("_c")).withColumnRenamed("_id", "_cid").withColumnRenamed("_th", "_cth")
-    both = docs.withColumn("_th", F.xxhash64("text")).join(candidates, F.col("doc_id").eqNullSafe(F.col("_cid")) & (F.col("_th") == F.col("_cth")), "left")
-    both = both.withColumn("_words", words_of(F.col("text")))
-    true = F.filter("_c", lambda c: F.slice("_words", c["pos"] + 1, c["len"]) == c["win"])
-    both = both.withColumn("_true", F.coalesce(true, F.expr("filter(_c, c -> false)")))
-    places = F.array_sort(F.array_distinct(F.flatten(F.transform("_true", lambda c: F.sequence(c["pos"], c["pos"] + c["len"] - 1)))))
-    items = F.array_sort(F.array_distinct(F.flatten(F.transform("_true", lambda c: c["items"]))))
-    out = both.withColumns({"_hits": F.coalesce(places, F.array().cast("array<int>")), "_items": F.coalesce(items, F.array().cast("array<string>"))})
-    return out.drop("_th", "_cid", "_cth", "_c", "_true")
+        return both.select("row", "words", F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
+    # equal rows have equal hits, so sets; a place's windows are as many as their lengths
+    each = found.groupBy("id", "th").agg(F.collect_set("at").alias("at"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    spans = F.transform("at", lambda c: F.sequence(c["pos"], c["pos"] + c["len"] - 1))
+    each = each.select(F.col("id").alias("hit_id"), F.col("th").alias("hit_th"), F.array_sort(F.array_distinct(F.flatten(spans))).alias("hits"), "items")
+    both = both.join(each, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("th") == F.col("hit_th")), "left")
+    return both.select("row", "words", F.coalesce("hits", F.array().cast("array<int>")).alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def is_contaminated(share: int = 20) -> Column:
     """Of a row of hits(): at least one word in `share` is hit."""
-    return (F.size("_hits") > 0) & (F.size("_hits") * share >= F.size("_words"))
+    return (F.size("hits") > 0) & (F.size("hits") * share >= F.size("words"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, remove: str = "documents", window: int = WINDOW) -> DataFrame:
@@ -89,19 +105,21 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, re
     found = hits(spark, docs, benchmark, window)
     if remove == "documents":
         # written first: a filter pushed below would repeat the work of its columns
-        return staged(spark, found.select(*docs.columns, is_contaminated().alias("_gone")), "decided").where(~F.col("_gone")).select(*docs.columns)
-    pieces = F.regexp_extract_all("text", F.lit(_PIECE), F.lit(1))
-    kept = F.concat(F.regexp_extract("text", _LEAD, 1), F.array_join(F.filter(pieces, lambda _, i: ~F.array_contains("_hits", i)), ""))
-    return found.withColumn("text", F.when(F.size("_hits") > 0, kept).otherwise(F.col("text"))).select(*docs.columns)
+        return staged(spark, found.select("row", is_contaminated().alias("gone")), "decided").where(~F.col("gone")).select("row.*")
+    text = F.col("row.text")
+    pieces = F.regexp_extract_all(text, F.lit(_PIECE), F.lit(1))
+    kept = F.concat(F.regexp_extract(text, _LEAD, 1), F.array_join(F.filter(pieces, lambda _, i: ~F.array_contains("hits", i)), ""))
+    left = F.when(F.size("hits") > 0, kept).otherwise(text)
+    return found.select(F.col("row").withField("text", left).alias("row")).select("row.*")
 
 
 def report(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = hits(spark, docs.select("doc_id", "text"), benchmark)
     return found.select(
-        "doc_id",
-        F.size("_words").cast("long").alias("n_words"),
-        F.size("_hits").cast("long").alias("n_hit"),
-        F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
+        "row.doc_id",
+        F.size("words").cast("long").alias("n_words"),
+        F.size("hits").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         is_contaminated().alias("contaminated"),
     )
