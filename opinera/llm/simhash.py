@@ -1,8 +1,9 @@
 """SimHash near-duplicates through a Gray-order hierarchical index.
 
 A fingerprint bit is the majority of that bit over the 64-bit hashes of all word shingles, repeats included. Fingerprints
-that differ in few bits are linked, exactly, in two steps. Routing: with k bits allowed to differ, one of k + 1 blocks of
-bits is the same in both, so distinct fingerprints go to one place per block. There, a hierarchical index: fingerprints
+that differ in few bits are linked, exactly, in two steps. Routing: with k bits allowed to differ, two of k + 2 blocks of
+bits are the same in both, so distinct fingerprints go to one place per pair of blocks; for k = 2 a key has 32 bits, so
+few distinct fingerprints share one. There, a hierarchical index: fingerprints
 sorted by Gray rank (neighbours in that order differ in few bits), and the leading 8, 16, ... bits that a run shares are
 factored into one node. The index is joined with itself from the root: a pair of nodes carries the differences counted
 so far and is dropped with everything below it once they exceed k. What leaves a task is a spanning forest of its links,
@@ -13,7 +14,7 @@ fingerprint and cost one row after the first grouping. Rows with a null id get t
 ids only has a null class. An empty table gives no rows.
 """
 
-from itertools import islice
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -116,9 +117,10 @@ def sketched(docs: DataFrame, id_col: str, width: int) -> DataFrame:
 
 
 def block_masks(distance: int) -> list[int]:
-    """distance + 1 masks that share out the 64 bits."""
-    edges = [BITS * i // (distance + 1) for i in range(distance + 2)]
-    return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
+    """Each two of distance + 2 blocks that share out the 64 bits: of distance differing bits, two blocks at least have none."""
+    edges = [BITS * i // (distance + 2) for i in range(distance + 3)]
+    blocks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
+    return [a | b for a, b in combinations(blocks, 2)]
 
 
 def _gray_rank(x: np.ndarray) -> np.ndarray:
@@ -164,8 +166,20 @@ class GrayIndex:
         first = np.searchsorted(self.starts[level + 1], ends[node])
         return first, np.searchsorted(self.starts[level + 1], ends[node + 1]) - first
 
-    def links(self, distance: int):
-        """Pairs of places (in the order given) of rows of a group whose fingerprints are within distance, in chunks."""
+    def neighbours(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places (in the order given) of each row and of the one before it in its group."""
+        later = np.setdiff1d(np.arange(len(self.fps)), self.starts[0])
+        return self.order[later - 1], self.order[later]
+
+    def links(self, distance: int, label: np.ndarray | None = None):
+        """Pairs of places (in the order given) of rows of a group whose fingerprints are within distance, in chunks.
+
+        With label, pairs of nodes whose rows all have one label are left out: they are linked already.
+        """
+        one = None
+        if label is not None:
+            at = label[self.order]
+            one = [np.where(np.minimum.reduceat(at, s) == np.maximum.reduceat(at, s), at[s], -1 - np.arange(len(s))) if len(s) else s for s in self.starts]
         roots = np.arange(len(self.starts[0]))
         work = [(0, roots, roots, np.zeros(len(roots), np.int64))]
         while work:
@@ -189,6 +203,9 @@ class GrayIndex:
                 left = (self.fps[self.starts[level + 1][x]] ^ self.fps[self.starts[level + 1][y]]) >> shift & np.uint64(255)
                 now = now + np.bitwise_count(left)
             keep = (now <= distance) & ((a[pair] != b[pair]) | (x <= y))
+            if one is not None:
+                keep &= one[level + 1][x] != one[level + 1][y]
+                keep |= (x == y) & (one[level + 1][x] < 0)
             if keep.any():
                 work.append((level + 1, x[keep], y[keep], now[keep]))
 
@@ -225,14 +242,22 @@ def fingerprint_links(placed: DataFrame, distance: int, likeness: float | None =
         if likeness is not None:
             kept = table.column(4).take(pa.array(order[many])).to_pylist()
             sketches = np.frombuffer(b"".join(kept), np.uint8).reshape(len(kept), SKETCH)
-        label = np.arange(len(fps))
-        for a, b in GrayIndex(group, fps.view(np.uint64)).links(distance):
+        label, index = np.arange(len(fps)), GrayIndex(group, fps.view(np.uint64))
+
+        def linked(a, b):
+            apart = label[a] != label[b]
+            a, b = a[apart], b[apart]
             if likeness is not None:
-                apart = label[a] != label[b]
-                a, b = a[apart], b[apart]
                 near = alike(sketches, a, b, likeness)
                 a, b = a[near], b[near]
-            label = _merged(label, a, b)
+            return _merged(label, a, b)
+
+        # neighbours first: what they link, as in a tight group of copies, is not compared pair by pair
+        a, b = index.neighbours()
+        close = np.bitwise_count(fps.view(np.uint64)[a] ^ fps.view(np.uint64)[b]) <= distance
+        label = linked(a[close], b[close])
+        for a, b in index.links(distance, label):
+            label = linked(a, b)
         moved = np.flatnonzero(label != np.arange(len(fps)))
         if len(moved):
             yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[label[moved]])], ["u", "v"])
