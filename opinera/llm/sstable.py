@@ -36,6 +36,8 @@ RESTART = 16
 BLOCK_BYTES = 64 * 1024
 BLOOM_BITS = 10
 BLOOM_HASHES = 7
+#: Documents of a shard, about, so that what its writer holds doesn't grow with the corpus.
+SHARD_ROWS = 50_000
 
 
 def key_bytes(doc_id: int | None) -> bytes:
@@ -113,10 +115,11 @@ class TableWriter:
     def close(self) -> None:
         self._flush()
         bits = max(64, len(self.keys) * BLOOM_BITS)
-        bloom = np.zeros(bits, np.uint8)
+        bloom = bytearray(-(-bits // 8))
         for key in self.keys:
-            bloom[_bloom_places(key, bits)] = 1
-        bloom_at = self._write(np.packbits(bloom).tobytes())
+            for p in _bloom_places(key, bits):
+                bloom[p >> 3] |= 128 >> (p & 7)
+        bloom_at = self._write(bytes(bloom))
         index_at = self._write(b"".join(key + struct.pack("<QQQ", *rest) for key, *rest in self.index))
         self._write(struct.pack("<8Q", *bloom_at, bits, *index_at, self.docs, self.ids << 8 | self.width, MAGIC))
 
@@ -179,7 +182,7 @@ def open_table(uri: str) -> TableReader:
 
 def write_tables(spark: SparkSession, docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, partitions: int | None = None) -> DataFrame:
     """One file a range of doc_id in folder. Rows: shard, path, docs, ids of each file, in key order by shard."""
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // SHARD_ROWS))
     ordered = docs.select("doc_id", "text").repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
 
     def write(batches):
