@@ -25,8 +25,9 @@ from opinera.llm.tokens import encoder
 from opinera.sources.staging import staged
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+LEFT = ("tokens_left", "documents_left", "attention_left")
 BUCKET_ROWS = 2048
-MOST_BUCKETS = 4096
+MOST_BUCKETS = 1 << 20
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, separator: int) -> DataFrame:
@@ -49,20 +50,25 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, separator:
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
 
-def plan_bins(histogram: dict[int, int], capacity: int, max_docs: int, max_attention: int, rule: str, weights: tuple[float, float, float]) -> np.ndarray:
-    """Moves as rows (length, first rank, pieces, first bin, offset), by length and rank."""
+def plan_bins(histogram: dict[int, int], capacity: int, max_docs: int, max_attention: int, rule: str, weights: tuple[float, float, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Moves as rows (length, first rank, pieces, first bin, offset), by length and rank; and what is left of the bins.
+
+    The second has rows (first bin, tokens, documents, attention left), each up to the next row's first bin.
+    """
     cap = np.array([capacity, max_docs, max_attention], np.float64)
     w = np.array(weights, np.float64)
     left, count, first = np.empty((0, 3), np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     moves: list[tuple[int, int, int, int, int]] = []
     bins = 0
     shortest = min(histogram, default=1)
+    closed = []
     for length in sorted(histogram, reverse=True):
         item = np.array([length, 1, length * length], np.int64)
         if (item > cap).any():
             raise ValueError(f"a piece of {length} tokens exceeds a capacity")
         open_ = left[:, 0] >= shortest
         open_ &= (left[:, 1] >= 1) & (left[:, 2] >= shortest * shortest)
+        closed.append(np.column_stack([first[~open_], left[~open_]]))
         left, count, first = left[open_], count[open_], first[open_]
         n, rank = histogram[length], 0
         fits = (left >= item).all(axis=1)
@@ -96,14 +102,15 @@ def plan_bins(histogram: dict[int, int], capacity: int, max_docs: int, max_atten
                     count, first = np.append(count, runs), np.append(first, bins)
                     bins += runs
     found = np.array(moves, np.int64).reshape(-1, 5)
-    return found[np.lexsort((found[:, 1], found[:, 0]))]
+    rest = np.concatenate([*closed, np.column_stack([first, left])])
+    return found[np.lexsort((found[:, 1], found[:, 0]))], rest[np.argsort(rest[:, 0])]
 
 
-def pack_pieces(spark: SparkSession, pieces: DataFrame, capacity: int = 2048, max_docs: int = 2048, max_attention: int | None = None, rule: str = "norm", weights: tuple[float, float, float] = (1.0, 1e-6, 1e-6)) -> DataFrame:
-    """pieces (staged: they are read three times) with sequence_id and offset."""
+def pack_pieces(spark: SparkSession, pieces: DataFrame, capacity: int = 2048, max_docs: int = 2048, max_attention: int | None = None, rule: str = "norm", weights: tuple[float, float, float] = (1.0, 0.5, 0.5)) -> DataFrame:
+    """pieces (staged: they are read three times) with sequence_id, offset and what is left of the sequence in the end: tokens, documents, attention."""
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     total = sum(histogram.values())
-    moves = plan_bins(histogram, capacity, max_docs, max_attention or capacity * capacity, rule, weights)
+    plan = plan_bins(histogram, capacity, max_docs, max_attention or capacity * capacity, rule, weights)
     buckets = min(MOST_BUCKETS, max(1, -(-total // BUCKET_ROWS)))
     salted = pieces.withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
     before = Window.partitionBy("length").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -111,17 +118,20 @@ def pack_pieces(spark: SparkSession, pieces: DataFrame, capacity: int = 2048, ma
     inside = Window.partitionBy("length", "_b").orderBy("doc_id", "piece", "ids_crc32")
     ranked = salted.withColumn("_r", F.row_number().over(inside)).join(offsets, ["length", "_b"])
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("_before") + F.col("_r") - 1).cast("long").alias("_rank"))
-    plan = spark.sparkContext.broadcast(moves)  # bounded by capacity, not by rows
+    sent = spark.sparkContext.broadcast(plan)  # bounded by capacity, not by rows
 
     def place(batches):
-        m = plan.value
+        m, rest = sent.value
         keys = m[:, 0] << 44 | m[:, 1]
         for batch in batches:
             length, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 5))
             at = m[np.searchsorted(keys, length << 44 | rank, side="right") - 1]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(at[:, 3] + rank - at[:, 1]), pa.array(at[:, 4])], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+            bins = at[:, 3] + rank - at[:, 1]
+            left = rest[np.searchsorted(rest[:, 0], bins, side="right") - 1]
+            arrays = [*batch.columns[:5], pa.array(bins), pa.array(at[:, 4]), *(pa.array(left[:, k]) for k in (1, 2, 3))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *LEFT])
 
-    return ranked.mapInArrow(place, f"{PIECES}, sequence_id long, offset long")
+    return ranked.mapInArrow(place, f"{PIECES}, sequence_id long, offset long, " + ", ".join(f"{n} long" for n in LEFT))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: int = 2048, separator: int = 0, **options) -> DataFrame:
