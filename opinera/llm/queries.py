@@ -53,7 +53,8 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_documents(table(_session(spark), sf_dir, "documents"), ["doc_id"])
+    found = secrets.scan_documents(table(_session(spark), sf_dir, "documents"), ["doc_id"])
+    return found.select("row.doc_id", *found.columns[1:])
 
 
 def op10_sstable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

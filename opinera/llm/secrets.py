@@ -1,12 +1,14 @@
 """Secret scan: fixed patterns, and character Markov models of random strings against ordinary identifiers.
 
 Both models are first-order over characters with add-half smoothing, trained from labelled samples: random strings drawn
-with a fixed seed over the usual alphabets, and identifiers joined from ordinary words in the usual styles. A run of
-identifier characters that mixes letters and digits is a secret if the log-likelihood ratio a character favours
-"random" and no fixed pattern already covers any of it. Fixed-pattern spans always stay.
+with a fixed seed over the usual alphabets, and identifiers that join words of the corpus in the usual styles. The words
+come from a bounded sample of documents (SAMPLE_DOCS, those with the least hashed ids) and, beside them, from a rule that
+joins syllables, so that an empty corpus gives a model too. A run of identifier characters that mixes letters and digits is
+random if the log-likelihood ratio a character favours it. Its span is reported, whether a fixed pattern covers it or not;
+fixed-pattern spans always stay.
 
 Places are code points, end exclusive. Null and empty texts have no spans. Repeated ids are rows of their own. An empty
-table gives no rows.
+table gives no rows. Columns beside the text pass through as one struct, so their names can't clash.
 """
 
 import hashlib
@@ -16,37 +18,22 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # The patterns, in order of kind.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "random")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 ASSIGN_LEAST = 6
 ASSIGN_KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Mean log-likelihood ratio a character from which a candidate counts as random.
 THRESHOLD = 0.75
 
-# Ordinary words of identifiers.
-WORDS = (
-    "account action active address agent alias amount archive array asset author backup balance banner batch block board body "
-    "branch bucket budget buffer build button cache call card cart category channel check child class client clock cluster code "
-    "column comment commit company config connection contact content context control cookie copy count country create currency "
-    "customer daily data database date default delete delivery depth detail device document domain download draft email employee "
-    "enable encoding end engine entry error event example export field file filter final first folder font format forward frame "
-    "function gateway global group handler hash header height hidden history host icon image import index info input insert "
-    "instance internal invoice item job join journal kernel keyboard label language last layer layout length level library limit "
-    "line link list local location lock login logo main manager map margin master match max media member memory menu message "
-    "method min mobile mode model module month name network next node note number object offset open option order output owner "
-    "package page panel parent part password path pattern payment period person phone picture point policy port position post "
-    "power preview price print priority process product profile project property query queue quote random range rate reader "
-    "record region release remote report request reset resource response result review role root route rule sample schedule "
-    "schema score screen script search section select sender server service session setting shape share shipping size sort "
-    "source space stack start state status step stock storage store stream string style summary support switch system table tag "
-    "target task team template test text theme thread time title token tool topic total track transfer type unit update upload "
-    "user value vector version video view volume warning week weight width window worker year zone"
-).split()
+#: Documents whose words the identifiers of the labelled sample are joined from, and words taken of each.
+SAMPLE_DOCS = 400
+SAMPLE_WORDS = 50
 
 
 class Markov:
@@ -60,25 +47,42 @@ class Markov:
         self.table = np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
-def labelled_samples(seed: int = 5, each: int = 20000) -> tuple[list[str], list[str]]:
-    """Random strings and ordinary identifiers, in equal number."""
+def syllable_words(rng: random.Random, n: int) -> list[str]:
+    """Words that can be spoken: two to four of consonant, vowel and at times a closing consonant."""
+    syllable = lambda: rng.choice("bcdfghlmnprstvw") + rng.choice("aeiou") + (rng.choice("lnrst") if rng.random() < 0.4 else "")
+    return ["".join(syllable() for _ in range(rng.randint(2, 4))) for _ in range(n)]
+
+
+def labelled_samples(words: list[str] = (), seed: int = 5, each: int = 20000) -> tuple[list[str], list[str]]:
+    """Random strings and ordinary identifiers, in equal number; half of the identifiers' words are made, half are from words."""
     rng = random.Random(seed)
     lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-    alphabets = (lower + upper + digits, lower + upper + digits + "+/", lower + upper + digits + "-_", lower + digits, upper + digits)
+    alphabets = (lower + upper + digits, lower + upper + digits + "+/", lower + upper + digits + "-_", lower + digits, upper + digits, "0123456789abcdef")
     strange = ["".join(rng.choices(rng.choice(alphabets), k=rng.randint(16, 48))) for _ in range(each)]
-    plain = []
+    made, plain = syllable_words(rng, 2000), []
     for _ in range(each):
-        words = rng.choices(WORDS, k=rng.randint(2, 6))
+        joined = rng.choices(words if words and rng.random() < 0.5 else made, k=rng.randint(2, 6))
         style = rng.randrange(6)
-        joined = ("_".join(words), "-".join(words), "".join(w.title() for w in words), words[0] + "".join(w.title() for w in words[1:]), "_".join(words).upper(), "/".join(words))[style]
+        joined = ("_".join(joined), "-".join(joined), "".join(w.title() for w in joined), joined[0] + "".join(w.title() for w in joined[1:]), "_".join(joined).upper(), "/".join(joined))[style]
         if rng.random() < 0.6:
             joined += rng.choice(("", "_", "-", "/", "v")) + str(rng.randrange(10 ** rng.randint(1, 8)))
         plain.append(joined)
     return strange, plain
 
 
-def ratio_table() -> np.ndarray:
-    strange, plain = labelled_samples()
+def sampled_words(docs: DataFrame, documents: int = SAMPLE_DOCS, each: int = SAMPLE_WORDS) -> list[str]:
+    """Distinct words of 3 to 12 ASCII letters, at most `each` of at most `documents` documents, the same ones each time."""
+    rows = docs.select(F.xxhash64(F.col("doc_id").cast("string")).alias("h"), F.xxhash64("text").alias("th"))
+    chosen = rows.orderBy("h", "th").limit(documents).distinct()
+    least = docs.sparkSession.createDataFrame(chosen.collect(), rows.schema)  # two numbers a document of the sample
+    found = F.regexp_extract_all(F.lower("text"), F.lit(r"(?<![A-Za-z0-9])[a-z]{3,12}(?![A-Za-z0-9])"), F.lit(0))
+    sample = docs.select(F.xxhash64(F.col("doc_id").cast("string")).alias("h"), F.xxhash64("text").alias("th"), "text").join(F.broadcast(least), ["h", "th"])
+    words = sample.groupBy("h", "th").agg(F.min("text").alias("text")).select(F.slice(F.array_sort(F.array_distinct(found)), 1, each).alias("w"))
+    return sorted({w for r in words.collect() for w in r["w"] or ()})
+
+
+def ratio_table(words: list[str] = ()) -> np.ndarray:
+    strange, plain = labelled_samples(words)
     return Markov(strange).table - Markov(plain).table
 
 
@@ -98,13 +102,11 @@ def base_spans(text: str, runs: list[re.Match]) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def random_spans(runs: list[re.Match], table: np.ndarray, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def random_spans(runs: list[re.Match], table: np.ndarray) -> list[tuple[int, int, int]]:
     found = []
     for m in runs:
         run = m.group()
-        if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)):
-            continue
-        if likelihood_ratio(table, run) >= THRESHOLD and not any(a < m.end() and m.start() < b for a, _, b in taken):
+        if any(c.isdigit() for c in run) and any(c.isalpha() for c in run) and likelihood_ratio(table, run) >= THRESHOLD:
             found.append((m.start(), 3, m.end()))
     return found
 
@@ -114,10 +116,11 @@ def _joined(spans) -> str:
 
 
 def scan_documents(docs: DataFrame, keep: list[str], threshold_table: np.ndarray | None = None) -> DataFrame:
-    """The columns in keep, the counts of each kind, base_sha256 and spans. The models are made once, on the driver."""
-    table = ratio_table() if threshold_table is None else threshold_table
+    """row (a struct of the columns in keep), the counts of each kind, base_sha256 and spans. The models are made once, on the driver."""
+    table = ratio_table(sampled_words(docs)) if threshold_table is None else threshold_table
+    rows = docs.select(F.col("text").alias("text"), F.struct(*keep).alias("row"))
     added = (("n_assign", "long"), ("n_access", "long"), ("n_hex", "long"), ("n_random", "long"), ("base_sha256", "string"), ("spans", "string"))
-    schema = docs.select(*keep).schema
+    schema = rows.select("row").schema
     for name, kind in added:
         schema = schema.add(name, kind)
 
@@ -128,19 +131,19 @@ def scan_documents(docs: DataFrame, keep: list[str], threshold_table: np.ndarray
                 text = value.as_py() or ""
                 runs = list(CANDIDATE.finditer(text))
                 base = base_spans(text, runs)
-                more = random_spans(runs, table, base)
+                more = random_spans(runs, table)
                 n = [sum(k == kind for _, k, _ in base) for kind in range(3)]
                 out.append((*n, len(more), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(sorted(base + more))))
             columns = list(zip(*out, strict=True)) or [()] * 6
             arrays = [pa.array(c, pa.int64() if i < 4 else pa.string()) for i, c in enumerate(columns)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *arrays], [*keep, *(n for n, _ in added)])
+            yield pa.RecordBatch.from_arrays([batch.column(1), *arrays], ["row", *(n for n, _ in added)])
 
-    return docs.select(docs["text"].alias("_text"), *keep).mapInArrow(scan, schema)
+    return rows.mapInArrow(scan, schema)
 
 
-def redact_documents(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
+def redact_documents(docs: DataFrame, mark: str = "[secret]", threshold_table: np.ndarray | None = None) -> DataFrame:
     """docs with each span of the text (overlapping ones together) replaced by mark. n_chars follows the text if there is one."""
-    table, columns = ratio_table(), docs.columns
+    table, columns = ratio_table(sampled_words(docs)) if threshold_table is None else threshold_table, docs.columns
     where = columns.index("text")
     count = columns.index("n_chars") if "n_chars" in columns else None
 
@@ -150,8 +153,7 @@ def redact_documents(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
             for value in batch.column(where):
                 text = value.as_py()
                 runs = list(CANDIDATE.finditer(text or ""))
-                base = base_spans(text or "", runs)
-                spans = sorted(base + random_spans(runs, table, base))
+                spans = sorted(base_spans(text or "", runs) + random_spans(runs, table))
                 if spans:
                     out, at = [], 0
                     for a, _, b in spans:
