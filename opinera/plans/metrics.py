@@ -1,9 +1,10 @@
 """Metric reports as data: keys, measures and derived ratios, compiled to one aggregate.
 
-A measure is kept as states that merge exactly: counts, decimal sums, minima and maxima. A report over a snapshot, one
-over live rows and the merge of both are the same specification, finished once at the end; so an average of a merged
-report is the average over all rows, whichever part they came from. Distinct counts don't merge from counts and are
-kept as sets when a report is to be merged.
+A measure is kept as states that merge: counts, sums, minima and maxima. A report over a snapshot, one over live rows and
+the merge of both are the same specification, finished once at the end; so an average of a merged report is the average
+over all rows, whichever part they came from. Sums are doubles, as in Spark's own averages, and NaN stays NaN. Distinct
+counts don't merge from counts and are kept as sets when a report is to be merged; they are for values of which a key
+has few (types, not ids).
 """
 
 from collections.abc import Callable, Sequence
@@ -13,8 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-EXACT = "decimal(38,6)"
-
 
 @dataclass(frozen=True)
 class State:
@@ -49,9 +48,9 @@ def count_rows(name: str) -> Measure:
 
 def average(name: str, value: Callable[[], Column], observed: str | None = None) -> tuple[Measure, ...]:
     """Over rows where value isn't null; observed names their count, if it is to be shown."""
-    total = State(f"_{name}_sum", lambda: value().cast(EXACT), "sum")
+    total = State(f"_{name}_sum", lambda: value().cast("double"), "sum")
     seen = State(f"_{name}_n", lambda: F.when(value().isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long"), "sum")
-    mean = Measure(name, (total, seen), lambda: F.try_divide(F.col(f"_{name}_sum").cast("double"), F.col(f"_{name}_n").cast("double")))
+    mean = Measure(name, (total, seen), lambda: F.try_divide(F.col(f"_{name}_sum"), F.col(f"_{name}_n").cast("double")))
     return (mean, Measure(observed, (seen,), lambda: F.col(f"_{name}_n"))) if observed else (mean,)
 
 

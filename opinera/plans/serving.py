@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from opinera.functions.dimensions import by_member
 from opinera.operators import ranking
 from opinera.plans import reports
-from opinera.plans.metrics import Report, approval, merged_with_provenance
+from opinera.plans.metrics import Report, approval, extreme, merged_with_provenance
 
 
 class Serving:
@@ -25,8 +25,7 @@ class Serving:
 
     def games(self) -> DataFrame:
         """One row a game, under the greatest of its names."""
-        named = lambda d: d.withColumn("game_name", F.max("game_name").over(_by("appid")))
-        return self._merged(reports.BY_GAME, named)
+        return self._merged(Report(("appid",), (extreme("game_name", lambda: F.col("game_name"), "max"), *reports.BY_GAME.measures)))
 
     def top_games(self, limit: int = 10) -> DataFrame:
         return ranking.top(self.games(), [F.desc("recommendation_rate"), F.desc("review_count"), F.asc("appid")], limit)
@@ -36,23 +35,17 @@ class Serving:
 
     def free_paid(self) -> DataFrame:
         """An item whose price type isn't known is UNKNOWN on either side."""
-        typed = lambda d: d.withColumn("price_type", F.when(F.col("is_free"), F.lit("FREE")).when(~F.col("is_free"), F.lit("PAID")).otherwise(F.lit("UNKNOWN")))
-        return self._merged(reports.BY_PRICE_TYPE, typed)
+        return self._merged(reports.BY_TYPE, lambda d: d.withColumn("game_type", reports.game_type(F.col("is_free"))))
 
     def genres(self) -> DataFrame:
-        """Games are counted once, whichever side they are on: states are kept by genre and game until the end."""
-        by_game = approval(("genre", "appid"), lambda: F.col("voted_up"))
-        shape = lambda d: by_member(d.select("appid", "voted_up", "genres"), F.col("genres"), "genre")
-        states = by_game.merge([by_game.partial(shape(self.base)), by_game.partial(shape(self.live))])
-        whole = approval(("genre",), lambda: F.col("voted_up"))
-        grouped = states.groupBy("genre").agg(*(s.again() for s in whole._states()), F.count("*").alias("game_count"))
-        return grouped.select("genre", "game_count", *(m.finish().alias(m.name) for m in whole.measures))
+        """Either side's reviews are unique, and none is on both."""
+        return self._merged(approval(("genre",), lambda: F.col("voted_up")), lambda d: by_member(d.select("voted_up", "genres"), F.col("genres"), "genre"))
 
     def platforms(self) -> DataFrame:
         return reports.by_platform(self.base)
 
     def categories(self) -> DataFrame:
-        return reports.by_category(self.base)
+        return reports.by_category(self.base, unique=True)
 
     def purchases(self) -> DataFrame:
         return reports.by_purchase(self.base)
@@ -72,12 +65,6 @@ class Serving:
         return found.orderBy(F.desc("window_start"), "appid")
 
 
-def _by(*keys: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*keys)
-
-
 def what_if_rows(row: DataFrame, options: dict[str, Sequence]) -> DataFrame:
     """A row, and once more for every other value of every attribute: what was changed, and to what."""
     types = dict(row.dtypes)

@@ -1,5 +1,7 @@
 """Reports over five reviews with values worked out by hand, and merges against recomputing."""
 
+import math
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opinera.functions.dimensions import hours_bucket, price_bucket
 from opinera.plans import reports
-from opinera.plans.metrics import approval, average, merged_with_provenance
+from opinera.plans.metrics import Report, approval, average, merged_with_provenance
 
 SCHEMA = (
     "recommendationid string, appid int, game_name string, voted_up boolean, playtime_hours double, playtime_bucket string, playtime_at_review bigint, playtime_forever bigint, "
@@ -33,6 +35,10 @@ def _by(frame, key):
     return {r[key]: r.asDict() for r in frame.collect()}
 
 
+def _rows(frame):
+    return sorted(map(tuple, frame.collect()), key=repr)
+
+
 def _four(row):
     return row["review_count"], row["positive_reviews"], row["negative_reviews"], pytest.approx(row["recommendation_rate"])
 
@@ -44,35 +50,38 @@ def test_by_game(base):
 
 def test_by_member(base):
     genres, categories = _by(reports.by_genre(base), "genre"), _by(reports.by_category(base), "category")
-    assert set(genres) == {"Action", "RPG", "Strategy", "UNKNOWN"} and _four(genres["Action"]) == (3, 2, 1, 2 / 3) and genres["Action"]["game_count"] == 1
+    assert set(genres) == {"Action", "RPG", "Strategy", "UNKNOWN"} and _four(genres["Action"]) == (3, 2, 1, 2 / 3)
+    assert _rows(reports.by_genre(base)) == _rows(reports.by_genre(base, unique=True)) and _rows(reports.by_category(base)) == _rows(reports.by_category(base, unique=True))
+    twice = _by(reports.by_genre(base.unionAll(base.limit(2))), "genre")
+    assert _four(twice["Action"]) == (3, 2, 1, 2 / 3)  # a repeated review counts once
     assert _four(categories["Achievements"]) == (3, 2, 1, 2 / 3) and _four(categories["UNKNOWN"]) == (1, 1, 0, 1)
 
 
 def test_by_playtime(base):
     found = _by(reports.by_playtime(base), "playtime_bucket")
-    assert len(found) == 4 and found["2-10h"]["review_count"] == 2 and found["2-10h"]["avg_playtime_hours"] == 3.0 and found["2-10h"]["playtime_observed_count"] == 1
+    assert len(found) == 4 and found["2-10h"]["review_count"] == 2 and found["2-10h"]["avg_playtime_hours"] == 3.0
 
 
 def test_by_price_type(base):
-    found = _by(reports.by_price_type(base), "price_type")
+    found = _by(reports.by_price_type(base), "game_type")
     paid = found["PAID"]
     assert (paid["game_count"], paid["review_count"], paid["playtime_observed_count"], paid["avg_playtime_hours"]) == (2, 4, 3, 8.0)
     assert (paid["min_price"], paid["max_price"], paid["avg_price"]) == (100.0, 300.0, 200.0) and found["FREE"]["game_count"] == 1
 
 
 def test_by_platform_and_purchase(base):
-    platforms, bought = _by(reports.by_platform(base), "platform"), _by(reports.by_purchase(base), "purchase_type")
+    platforms, bought = _by(reports.by_platform(base), "platform"), _by(reports.by_purchase(base), "purchase_source")
     assert {p: (r["review_count"], r["positive_reviews"]) for p, r in platforms.items()} == {"WINDOWS": (5, 3), "MAC": (3, 2), "LINUX": (1, 1)}
     assert bought["STEAM_PURCHASE"]["avg_playtime_hours"] == 1.0 and bought["OTHER_SOURCE"]["avg_playtime_hours"] == pytest.approx(83 / 3)
-    assert {r["received_for_free_type"]: r["review_count"] for r in reports.by_gift(base).collect()} == {"RECEIVED_FOR_FREE": 2, "NOT_RECEIVED_FOR_FREE": 3}
+    assert {r["acquisition_type"]: r["review_count"] for r in reports.by_gift(base).collect()} == {"RECEIVED_FOR_FREE": 2, "NOT_RECEIVED_FOR_FREE": 3}
 
 
 def test_engagement_and_profile(base):
     ten, thirty = (_by(reports.engagement(base), "appid")[i] for i in (10, 30))
-    assert (ten["playtime_at_review_observed"], ten["avg_playtime_at_review_hours"], ten["avg_playtime_forever_hours"], ten["avg_votes_up"], ten["avg_votes_funny"]) == (2, 2.0, 3.0, 4.0, 2.0)
-    assert ten["avg_weighted_vote_score"] == pytest.approx(2 / 3, abs=1e-5) and thirty["avg_weighted_vote_score"] is None
+    assert (ten["playtime_at_review_observed_count"], ten["avg_playtime_at_review_hours"], ten["avg_playtime_forever_hours"], ten["avg_votes_up"], ten["avg_votes_funny"]) == (2, 2.0, 3.0, 4.0, 2.0)
+    assert ten["avg_weighted_vote_score"] == pytest.approx(2 / 3, rel=1e-12) and thirty["avg_weighted_vote_score"] is None
     row = reports.label_profile(base).first()
-    assert (row["total_reviews"], row["distinct_games"], row["positive_reviews"], row["free_reviews"], row["null_playtime_at_review"], row["null_genres"], row["null_price"]) == (5, 3, 3, 1, 1, 1, 0)
+    assert (row["total_rows"], row["distinct_appids"], row["positive_count"], row["free_review_count"], row["null_playtime_at_review"], row["null_genres"], row["null_price"]) == (5, 3, 3, 1, 1, 1, 0)
 
 
 def test_bucket_edges(spark):
@@ -83,7 +92,17 @@ def test_bucket_edges(spark):
 
 
 def test_by_price(base):
-    assert {r["price_bucket"]: (r["game_count"], r["review_count"]) for r in reports.by_price(base).collect()} == {"<200K": (2, 4), "FREE": (1, 1)}
+    found = _by(reports.by_price(base), "price_bucket")
+    assert {k: (r["game_count"], r["review_count"], r["avg_playtime_hours"]) for k, r in found.items()} == {"<200K": (2, 4, 8.0), "FREE": (1, 1, 60.0)}
+
+
+def test_averages_are_exact(spark):
+    rows = spark.createDataFrame([("a", 1e-7), ("a", 2e-7), ("b", 1 / 3), ("b", 1e-7), ("b", 2e-7), ("c", float("nan")), ("c", 2.0), ("d", None)], "k string, x double")
+    report = Report(("k",), average("mean", lambda: F.col("x"), "seen"))
+    found = _by(report.over(rows), "k")
+    plain = _by(rows.groupBy("k").agg(F.avg("x").alias("mean"), F.count("x").alias("seen")), "k")
+    assert found["a"]["mean"] == pytest.approx(1.5e-7, rel=1e-12) and math.isnan(found["c"]["mean"]) and found["d"]["mean"] is None
+    assert all(found[k]["seen"] == plain[k]["seen"] and found[k]["mean"] == pytest.approx(plain[k]["mean"], rel=1e-12, nan_ok=True) for k in "abc")
 
 
 def test_windows(base):
@@ -99,4 +118,5 @@ def test_merging_equals_recomputing(spark, rows, cut):
     frame = lambda r: spark.createDataFrame(r, "k string, up boolean, minutes int")
     report = approval(("k",), lambda: F.col("up"), *average("avg_hours", lambda: F.col("minutes") / 60, "observed"))
     merged = merged_with_provenance(report, report.partial(frame(rows[:cut])), report.partial(frame(rows[cut:]))).drop("batch_review_count", "stream_review_count", "data_source")
-    assert sorted(map(tuple, merged.collect()), key=repr) == sorted(map(tuple, report.over(frame(rows)).collect()), key=repr)
+    for a, b in zip(_rows(merged), _rows(report.over(frame(rows))), strict=True):
+        assert all(x == y or x == pytest.approx(y, rel=1e-12) for x, y in zip(a, b, strict=True))

@@ -21,9 +21,9 @@ def test_merged_reports(served):
     base, both = served
     four = ("review_count", "positive_reviews", "negative_reviews", "recommendation_rate")
     assert _rows(both.games(), "appid", *four) == _rows(reports.by_game(base), "appid", *four)
-    assert _rows(both.genres(), "genre", "game_count", *four) == _rows(reports.by_genre(base), "genre", "game_count", *four)
+    assert _rows(both.genres(), "genre", *four) == _rows(reports.by_genre(base), "genre", *four)
     assert _rows(both.playtime(), "playtime_bucket", "avg_playtime_hours", *four) == _rows(reports.by_playtime(base), "playtime_bucket", "avg_playtime_hours", *four)
-    assert {r["price_type"]: (r["batch_review_count"], r["stream_review_count"], r["data_source"]) for r in both.free_paid().collect()} == {"PAID": (2, 2, "batch_plus_streaming"), "FREE": (1, 0, "batch")}
+    assert {r["game_type"]: (r["batch_review_count"], r["stream_review_count"], r["data_source"]) for r in both.free_paid().collect()} == {"PAID": (2, 2, "batch_plus_streaming"), "FREE": (1, 0, "batch")}
     assert [r["appid"] for r in both.top_games(2).collect()] == [30, 10]
     with pytest.raises(ValueError):
         both.top_games(101)
