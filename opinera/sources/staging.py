@@ -12,9 +12,11 @@ _KEY = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a temporary folder only where it is unset, as in local tests."""
+    """The session's spark.checkpoint.dir. Unset, it becomes a temporary folder on a local master, and an error on others."""
     folder = spark.conf.get(_KEY, None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError(f"{_KEY} must name a folder that the cluster shares")
         folder = f"file://{tempfile.mkdtemp(prefix='opinera-')}"
         spark.conf.set(_KEY, folder)
     return folder.rstrip("/")
