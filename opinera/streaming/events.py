@@ -6,7 +6,7 @@ on batch and streaming frames alike. Nothing raises on bad input; it is classifi
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinera.sources.schemas import PLAYER_EVENT, REVIEW_EVENT
@@ -15,7 +15,7 @@ _LOG = ("key", "topic", "partition", "offset", "timestamp")
 
 
 def _parsed(log: DataFrame, schema: str, games: DataFrame) -> DataFrame:
-    known = F.broadcast(games.select(F.col("appid").alias("_known")).distinct())  # the game dimension of a stream: tens of thousands of ids
+    known = games.select(F.col("appid").alias("_known")).distinct()  # Spark broadcasts it if it is small
     events = log.select(*_LOG, F.col("value").cast("string").alias("raw_value")).withColumn("key", F.col("key").cast("string"))
     events = events.withColumn("e", F.from_json("raw_value", schema)).select(*_LOG, "raw_value", "e.*")
     events = events.withColumns({"event_ts": F.try_to_timestamp("event_time"), "produced_ts": F.try_to_timestamp("produced_at")})
@@ -87,16 +87,18 @@ def valid(events: DataFrame) -> DataFrame:
 
 
 def once(events: DataFrame, key: Sequence[str], delay: str) -> DataFrame:
-    """One event a key: within the watermark on a stream, in all on a batch (the least by the other columns' order)."""
+    """One event a key: the first within the watermark on a stream, on a batch the least by time and a hash of the row."""
     if events.isStreaming:
         return events.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(list(key))
-    return events.dropDuplicates(list(key))
+    rest = [c for c in events.columns if c not in key]
+    one = events.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct("event_ts", F.xxhash64(*rest))).alias("_r"))
+    return one.select(*(F.col(c) if c in key else F.col("_r")[c].alias(c) for c in events.columns))
 
 
 def review_rows(events: DataFrame, games: DataFrame) -> DataFrame:
     """Valid review events in the shape of landed reviews, for the batch cleaning."""
     names = games.select("appid", "game_name")
-    return valid(events).select("appid", F.col("payload").alias("review"), "event_ts").join(F.broadcast(names), "appid")
+    return valid(events).select("appid", F.col("payload").alias("review"), "event_ts").join(names, "appid")
 
 
 def player_silver(events: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -104,7 +106,7 @@ def player_silver(events: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def player_gold(silver: DataFrame, games: DataFrame) -> DataFrame:
-    return silver.join(F.broadcast(games.select("appid", "game_name")), "appid").withColumn("observed_hour", F.date_trunc("hour", "observed_at"))
+    return silver.join(games.select("appid", "game_name"), "appid").withColumn("observed_hour", F.date_trunc("hour", "observed_at"))
 
 
 def without_known(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -126,24 +128,67 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
 
 
-def append_once(path: str, key: str, partition: str | None = None) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: appends rows whose key isn't there yet, so that a batch may run again."""
+#: Buckets of keys in a table that batches are appended to, or that they update.
+KEY_BUCKETS = 64
+
+
+def _bucket(key: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def _touched(batch: DataFrame) -> list[int]:
+    return [r[0] for r in batch.select("_bucket").distinct().collect()]  # KEY_BUCKETS at most
+
+
+def append_once(path: str, key: str) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: appends rows whose key isn't there yet, so that a batch may run again.
+
+    The table is partitioned by a bucket of the key, and of its rows only the keys of buckets that the batch touches are read.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
-        fresh = without_known(batch.dropDuplicates([key]), _existing(batch.sparkSession, path, batch.schema), key)
-        writer = fresh.write.mode("append")
-        (writer.partitionBy(partition) if partition else writer).parquet(path)
+        batch = batch.dropDuplicates([key]).withColumn("_bucket", _bucket([key]))
+        there = _existing(batch.sparkSession, path, batch.schema).where(F.col("_bucket").isin(_touched(batch))).select(key)
+        batch.join(there, key, "left_anti").write.mode("append").partitionBy("_bucket").parquet(path)
 
     return write
 
 
-def upsert_once(path: str, key: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: a keyed snapshot folder a batch; the newest complete one is the table. Running a batch again writes the same folder."""
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete snapshots, oldest first."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getParent().getName() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS")) or [])
+
+
+def newest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete snapshot of a table that upsert_once() writes."""
+    found = _folders(spark, path)
+    if not found:
+        raise LookupError(f"no snapshot in {path}")
+    return spark.read.parquet(f"{path}/{found[-1]}")
+
+
+def upsert_once(path: str, key: Sequence[str], order: Sequence[str], keep: int = 2) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: a keyed snapshot folder a batch; the newest complete one is the table, older than `keep` go.
+
+    A batch builds on the newest snapshot but its own, whatever the numbers, so a batch that runs again and a stream whose
+    checkpoint starts anew lose nothing.
+    """
     from opinera.operators.snapshots import latest
+    from opinera.sources.staging import drop_folder
 
     def write(batch: DataFrame, number: int) -> None:
-        old = _existing(batch.sparkSession, f"{path}/{number - 1:010d}", batch.schema)
-        latest(old.unionByName(batch), key, order).write.mode("overwrite").parquet(f"{path}/{number:010d}")
+        spark = batch.sparkSession
+        before = _folders(spark, path)
+        own = f"{number:010d}"
+        if before and own < before[-1]:  # a checkpoint that starts anew counts from 0
+            own = f"{int(before[-1].split('-')[0]):010d}-{number:010d}"
+        older = [b for b in before if b != own]
+        rows = latest(spark.read.schema(batch.schema).parquet(f"{path}/{older[-1]}").unionByName(batch), key, order) if older else latest(batch, key, order)
+        rows.write.mode("overwrite").parquet(f"{path}/{own}")
+        for name in [b for b in older if b < own][: -keep or None]:
+            drop_folder(spark, f"{path}/{name}")
 
     return write
 
@@ -154,5 +199,7 @@ def batch_sink(frame: DataFrame, write: Callable[[DataFrame, int], None], checkp
 
 
 def latest_players(silver: DataFrame) -> DataFrame:
-    order = Window.partitionBy("appid").orderBy(F.col("observed_at").desc(), F.col("event_id").desc())
-    return silver.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n").withColumn("observed_micros", F.unix_micros("observed_at"))
+    """The greatest row of each game by time and id; summed before the shuffle, so a hot game moves one row a task."""
+    from opinera.operators.snapshots import latest
+
+    return latest(silver, ["appid"], ["observed_at", "event_id"]).withColumn("observed_micros", F.unix_micros("observed_at"))

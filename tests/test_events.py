@@ -66,3 +66,39 @@ def test_sinks_take_a_batch_twice(spark, tmp_path):
     upsert(rows, 0), upsert(rows.withColumn("at", F.col("at") + F.expr("INTERVAL 1 DAY")).withColumn("n", F.lit(9)), 1)
     upsert(rows.withColumn("at", F.col("at") - F.expr("INTERVAL 1 DAY")), 2)
     assert [r["n"] for r in spark.read.parquet(str(tmp_path / "snap" / "0000000002")).collect()] == [9, 9]
+
+
+def test_snapshots_survive_a_new_checkpoint(spark, tmp_path):
+    row = lambda n, day: spark.createDataFrame([("a", n, AT + dt.timedelta(days=day))], "id string, n int, at timestamp")
+    write = events.upsert_once(str(tmp_path / "snap"), ["id"], ["at"])
+    for number, day in ((0, 0), (1, 1), (2, 2), (3, 3)):
+        write(row(number, day), number)
+    assert len(events._folders(spark, str(tmp_path / "snap"))) == 3
+    write(row(-1, -5), 0)  # a stream that starts anew
+    assert events.newest(spark, str(tmp_path / "snap")).first()["n"] == 3
+    write(row(9, 9), 1)
+    assert events.newest(spark, str(tmp_path / "snap")).first()["n"] == 9
+
+
+def test_review_stream(spark, tmp_path):
+    from opinera.sources.schemas import GAMES
+    from opinera.streaming import wiring
+
+    landed = spark.createDataFrame([{"appid": 10, "data": {"name": "Ten", "is_free": False, "genres": [{"id": "1", "description": "Action"}]}}], GAMES)
+    games, known = cleaning.games(landed), spark.createDataFrame([("old",)], "recommendationid string")
+    paths = wiring.Paths(f"file://{tmp_path}/data", f"file://{tmp_path}/state")
+    say = lambda key, **more: _review(event_id=key, payload={"recommendationid": key, "timestamp_created": 1704067200, "voted_up": True, "author": {"playtime_at_review": 90}}, **more)
+    log = f"{tmp_path}/log"
+    _log(spark, [say("r1"), say("r1"), say("old"), say("r2", appid=-1)]).write.parquet(log)
+    run = wiring.Reviews(paths, games, known)
+    from opinera.sources.logs import read_landed_log
+
+    count = lambda n: spark.read.parquet(paths.table(n)).count()
+    run.run(spark, read_landed_log(spark, log))
+    assert (count("archive"), count("quarantine"), count("reviews"), count("base")) == (4, 1, 1, 1)
+    assert events.newest(spark, paths.table("recent")).select("_id", "game_type", "genres").first().asDict() == {"_id": "r1", "game_type": "PAID", "genres": ["Action"]}
+    _log(spark, [say("r1"), say("r3")]).write.mode("append").parquet(log)
+    run.run(spark, read_landed_log(spark, log))
+    assert (count("archive"), count("reviews"), count("base")) == (6, 2, 2)
+    window = events.newest(spark, paths.table("windows")).first()
+    assert (window["review_count"], window["_id"]) == (2, "10:2024-01-01T00:00:00Z:2024-01-01T01:00:00Z")
