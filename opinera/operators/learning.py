@@ -39,8 +39,8 @@ def features(rows: DataFrame, label: bool = False) -> DataFrame:
     return out.withColumns({f"{n}_missing": _flag(F.col(n).isNull()) for n in NUMERIC})
 
 
-def split(rows: DataFrame, key: str = "recommendationid", label: str = "label", fraction: float = 0.8, seed: int = 501) -> tuple[DataFrame, DataFrame]:
-    """The same rows on either side each time: floor(n * fraction) of each label train, in the order of a seeded hash.
+def sided(rows: DataFrame, key: str = "recommendationid", label: str = "label", fraction: float = 0.8, seed: int = 501) -> DataFrame:
+    """rows with train, the same each time: floor(n * fraction) of each label are, in the order of a seeded hash.
 
     Only ids are ranked. The order is cut in 256 ranges of the hash; rows are ranked within one, after the sizes of
     those before, so a label with half of all rows isn't ranked in one task.
@@ -51,9 +51,14 @@ def split(rows: DataFrame, key: str = "recommendationid", label: str = "label",
     counts = hashed.groupBy(label, "_b").agg(F.count("*").alias("_n"))
     sizes = counts.select(F.col(label).alias("_l"), F.col("_b").alias("_c"), F.coalesce(F.sum("_n").over(Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy(label)).alias("_all"))
     ranked = hashed.withColumn("_r", F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", key)))
-    placed = ranked.join(F.broadcast(sizes), F.col(label).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_c")))  # 256 rows a label
-    train = F.col("_before") + F.col("_r") <= F.floor(F.col("_all") * fraction)
-    return placed.where(train).select(*rows.columns), placed.where(~train).select(*rows.columns)
+    placed = ranked.join(sizes, F.col(label).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_c")))  # 256 rows a label
+    return placed.select(*rows.columns, (F.col("_before") + F.col("_r") <= F.floor(F.col("_all") * fraction)).alias("train"))
+
+
+def split(rows: DataFrame, key: str = "recommendationid", label: str = "label", fraction: float = 0.8, seed: int = 501) -> tuple[DataFrame, DataFrame]:
+    """The two sides of sided()."""
+    both = sided(rows, key, label, fraction, seed)
+    return both.where("train").drop("train"), both.where(~F.col("train")).drop("train")
 
 
 def class_weights(rows: DataFrame, label: str = "label") -> DataFrame:

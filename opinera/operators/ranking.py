@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,22 @@ def top_keeping(rows: DataFrame, order: Sequence[Column], most: int, keep: Colum
     return others.unionByName(kept).orderBy(F.col("_kept").desc(), *order).limit(most).drop("_kept").orderBy(*order)
 
 
+def numbered(rows: DataFrame, key: str, within: str, buckets: int = 64) -> DataFrame:
+    """rows with rn, the place by key (a number or time) from 1 among the rows of `within`, and n, how many those are.
+
+    Rows are ranked in ranges of the key, each after the sizes of those before, so no group is ranked in one task.
+    """
+    bounds = rows.agg(F.percentile_approx(key, [i / buckets for i in range(1, buckets)], 10000)).first()[0] or []
+    bucket = F.size(F.filter(F.array(*(F.lit(b) for b in bounds)), lambda b: b < F.col(key))) if bounds else F.lit(0)
+    placed = rows.withColumn("_b", bucket)
+    counts = placed.groupBy(within, "_b").agg(F.count("*").alias("_n"))
+    group = Window.partitionBy(within)
+    sizes = counts.select(F.col(within).alias("_w"), F.col("_b").alias("_c"), F.coalesce(F.sum("_n").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(group).alias("n"))
+    inside = placed.withColumn("_r", F.row_number().over(Window.partitionBy(within, "_b").orderBy(key)))
+    both = inside.join(sizes, F.col(within).eqNullSafe(F.col("_w")) & (F.col("_b") == F.col("_c")))
+    return both.select(*rows.columns, (F.col("_before") + F.col("_r")).alias("rn"), "n")
+
+
 def domain_order(value: Column, names: Sequence[str]) -> Column:
     """The place of value in names; others and null last."""
     out = F.when(value == names[0], F.lit(0))

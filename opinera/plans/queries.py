@@ -4,7 +4,6 @@ A line of an order stands for a review (returned: liked), a part for a game, the
 an order's status for platforms, an event for a stream's event and its props for the payload.
 """
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from opinera.functions.dimensions import UNKNOWN, bucketed, by_flag, by_member, clean_tokens
 from opinera.operators import learning, lifecycle, quality, ranking, snapshots
 from opinera.plans.metrics import Report, approval, average, count_rows, distinct, extreme, merged_with_provenance
+from opinera.sources.staging import new_folder
 from opinera.sources.tables import table
 from opinera.streaming import events as stream
 
@@ -95,21 +95,20 @@ def engagement(spark, d):
 count(*) FILTER (l_discount = 0) AS full_price, count(*) FILTER (l_quantity IS NULL) AS null_quantity, count(*) FILTER (l_shipdate IS NULL) AS null_shipdate,
 count(*) FILTER (l_returnflag = 'R') / count(*)::DOUBLE AS returned_ratio FROM lineitem""")
 def profile(spark, d):
-    c = F.col
-    return table(spark, d, "lineitem").agg(
-        F.count("*").alias("rows"), F.count_distinct("l_orderkey").alias("orders"), F.count_distinct("l_partkey").alias("parts"),
-        F.count_if(_returned()).alias("returned"), F.count_if(~_returned()).alias("kept"), F.count_if(c("l_discount") == 0).alias("full_price"),
+    c, lines = F.col, table(spark, d, "lineitem")
+    keys = lambda key, name: lines.select(key).distinct().agg(F.count(key).alias(name))  # noqa: E731  two distinct counts in one aggregate would send each row on three times
+    counts = lines.agg(
+        F.count("*").alias("rows"), F.count_if(_returned()).alias("returned"), F.count_if(~_returned()).alias("kept"), F.count_if(c("l_discount") == 0).alias("full_price"),
         F.count_if(c("l_quantity").isNull()).alias("null_quantity"), F.count_if(c("l_shipdate").isNull()).alias("null_shipdate"), (F.count_if(_returned()) / F.count("*")).alias("returned_ratio"),
     )
+    return counts.crossJoin(keys("l_orderkey", "orders")).crossJoin(keys("l_partkey", "parts"))  # rows beside a row
 
 
 @query("""SELECT count(*) AS rows, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS surplus, count(*) FILTER (n > 1) AS duplicate_keys, CAST(coalesce(sum(bad), 0) AS BIGINT) AS rule_0 FROM (
 SELECT l_orderkey, l_linenumber, count(*) AS n, count(*) FILTER (l_discount IS NULL OR l_discount < 0 OR l_discount > 0.05) AS bad FROM lineitem GROUP BY ALL)""")
 def duplicate_keys(spark, d):
-    lines = table(spark, d, "lineitem")
-    found = quality.profile(lines, [quality.outside("l_discount", 0, 0.05)], ["l_orderkey", "l_linenumber"])
-    keys = lines.select("l_orderkey", "l_linenumber").distinct().agg(F.count("*").alias("n"))
-    return found.crossJoin(keys).select(F.col("n").alias("rows"), (F.col("rows") - F.col("n")).alias("surplus"), "duplicate_keys", "rule_0")  # a row beside a row
+    found = quality.profile(table(spark, d, "lineitem"), [quality.outside("l_discount", 0, 0.05)], ["l_orderkey", "l_linenumber"])
+    return found.select(F.col("keys").alias("rows"), (F.col("rows") - F.col("keys")).alias("surplus"), "duplicate_keys", "rule_0")
 
 
 @query("SELECT o_orderstatus, count(*) AS rows FROM orders GROUP BY o_orderstatus")
@@ -145,18 +144,18 @@ def newest_per_user(spark, d):
 
 
 @query("""SELECT o_orderkey, o_orderstatus, o_totalprice, source FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY rank) AS n FROM (
-SELECT *, 0 AS rank, 'historical' AS source FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL SELECT *, 1, 'realtime' FROM orders WHERE o_orderkey % 2 = 0)) WHERE n = 1""")
+SELECT *, 0 AS rank, 'historical' AS source FROM orders WHERE o_orderstatus <> 'O' UNION ALL SELECT *, 1, 'realtime' FROM orders WHERE o_orderstatus <> 'F')) WHERE n = 1""")
 def current_snapshot(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    old, live = orders.where("o_orderkey % 3 <> 0").withColumn("source", F.lit("historical")), orders.where("o_orderkey % 2 = 0").withColumn("source", F.lit("realtime"))
+    old, live = orders.where("o_orderstatus <> 'O'").withColumn("source", F.lit("historical")), orders.where("o_orderstatus <> 'F'").withColumn("source", F.lit("realtime"))
     return snapshots.precedence_union(["o_orderkey"], [old, live])
 
 
 @query("""SELECT CASE WHEN a.o_orderkey IS NULL THEN 'upserted' WHEN b.o_orderkey IS NULL THEN 'deleted' ELSE 'matched' END AS action, count(*) AS keys
-FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0) a FULL JOIN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0) b USING (o_orderkey) GROUP BY 1""")
+FROM (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'O') a FULL JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F') b USING (o_orderkey) GROUP BY 1""")
 def snapshot_upsert(spark, d):
-    orders = table(spark, d, "orders").select("o_orderkey")
-    return snapshots.snapshot_changes(orders.where("o_orderkey % 3 <> 0"), orders.where("o_orderkey % 2 = 0"), ["o_orderkey"]).groupBy("action").agg(F.count("*").alias("keys"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return snapshots.snapshot_changes(orders.where("o_orderstatus <> 'O'"), orders.where("o_orderstatus <> 'F'"), ["o_orderkey"]).groupBy("action").agg(F.count("*").alias("keys"))
 
 
 @query("""WITH m AS (SELECT l_partkey, count(*) AS n, sum(CAST(l_quantity AS DECIMAL(18,2)))::DOUBLE AS q FROM lineitem GROUP BY 1), s AS (SELECT l_partkey, count(*) AS n, sum(CAST(l_quantity AS DECIMAL(18,2)))::DOUBLE AS q FROM lineitem WHERE l_linenumber < 7 GROUP BY 1)
@@ -169,10 +168,7 @@ def metric_diff(spark, d):
 
 @query("""SELECT event_id, event_type, CASE WHEN rn <= floor(n * 0.8) THEN 'train' ELSE 'test' END AS side FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn, count(*) OVER (PARTITION BY event_type) AS n FROM events)""")
 def split_by_rank(spark, d):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("event_type")
-    ranked = table(spark, d, "events").select("event_id", "event_type", F.row_number().over(w.orderBy("event_id")).alias("rn"), F.count("*").over(w).alias("n"))
+    ranked = ranking.numbered(table(spark, d, "events").select("event_id", "event_type"), "event_id", "event_type")
     return ranked.select("event_id", "event_type", F.when(F.col("rn") <= F.floor(F.col("n") * 0.8), "train").otherwise("test").alias("side"))
 
 
@@ -180,9 +176,7 @@ def split_by_rank(spark, d):
 def hash_split(spark, d):
     """The sizes of the hashed split; which rows are where is tested apart, since the hash isn't in SQL."""
     rows = table(spark, d, "events").select("event_id", F.col("event_type").alias("label"))
-    train, test = learning.split(rows, "event_id")
-    counted = train.withColumn("t", F.lit(1)).unionAll(test.withColumn("t", F.lit(0)))
-    return counted.groupBy("label").agg(F.count("*").alias("rows"), F.sum("t").alias("train_rows"))
+    return learning.sided(rows, "event_id").groupBy("label").agg(F.count("*").alias("rows"), F.count_if("train").alias("train_rows"))
 
 
 @query("""SELECT user_id, epoch(time_bucket(INTERVAL '1 hour', ts))::BIGINT AS window_start, epoch(time_bucket(INTERVAL '1 hour', ts))::BIGINT + 3600 AS window_end, count(*) AS events, count(*) FILTER (event_type = 'purchase') AS purchases,
@@ -301,8 +295,9 @@ def readiness_gates(spark, d):
 
 @query("SELECT event_type, max(coalesce(event_id, 0)) AS mark FROM events GROUP BY event_type")
 def high_water_marks(spark, d):
-    rows = table(spark, d, "events").select("event_type", F.col("event_id").alias("mark"))
-    return lifecycle.merge_marks(rows.where("mark % 2 = 0"), rows.where("mark % 2 = 1"), "event_type", "mark")
+    rows = table(spark, d, "events").select("event_type", "ts", F.col("event_id").alias("mark"))
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    return lifecycle.merge_marks(*(rows.where(side).drop("ts") for side in (F.col("ts") < cut, F.col("ts") >= cut)), "event_type", "mark")
 
 
 @query("SELECT event_id, event_type || ':' || user_id || ':' || event_id AS natural_key, upper(md5(natural_key)) AS digest, sha256(props) AS props_sha FROM events")
@@ -324,13 +319,10 @@ def name_search(spark, d):
 @query("SELECT event_id, user_id, event_type FROM events")
 def stream_dedup(spark, d):
     """The events twice through a file stream and its watermark: each comes out once."""
-    folder = tempfile.mkdtemp(prefix="opinera-stream-") if spark.sparkContext.master.startswith("local[") else None
-    from opinera.sources.staging import new_folder
-
-    root = f"file://{folder}" if folder else new_folder(spark, "stream")
+    root = new_folder(spark, "stream")
     rows = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("event_ts"), "user_id", "event_type")
     for _ in range(2):
-        rows.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        rows.write.mode("append").parquet(f"{root}/in")
     live = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 10).parquet(f"{root}/in")
     stream.file_sink(stream.once(live, ["event_id"], "60 days"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{root}/out").select("event_id", "user_id", "event_type")

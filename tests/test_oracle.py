@@ -3,8 +3,10 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
+from opinera.plans import platform  # noqa: F401
 from opinera.plans.queries import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
@@ -12,7 +14,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 
 def _plain(value):
-    if value is None or value != value:
+    if value is None or value is pd.NA or value != value:
         return None
     if type(value).__name__ in ("float", "Decimal", "float64"):
         return round(float(value), 9)
