@@ -5,6 +5,8 @@ Written tables cut lineage and survive lost executors; unlike localCheckpoint th
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,15 +24,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Folders made in a scratch() block, innermost block last.
+_blocks: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _blocks:
+        _blocks[-1].append(path)
+    return path
 
 
-def staged(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
-    """frame written once as Parquet and read back."""
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside goes at the end, so results have to be written or read before. A result's own folder is
+    the caller's: one from new_folder() outside."""
+    _blocks.append([])
+    try:
+        yield
+    finally:
+        for path in _blocks.pop():
+            drop_folder(spark, path)
+
+
+def written(spark: SparkSession, frame: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """frame written once as Parquet and read back, and the folder it is in."""
     path = new_folder(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    return spark.read.schema(frame.schema).parquet(path), path
+
+
+def staged(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
+    return written(spark, frame, name)[0]
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from opinera.sources import catalog, logs, paging
+from opinera.sources import catalog, logs, paging, staging
 
 
 def test_retry():
@@ -99,3 +99,12 @@ def test_logs(spark, tmp_path):
     (tmp_path / "one").write_text("other")
     with pytest.raises(FileExistsError):
         logs.publish_file(spark, f"file://{tmp_path}/one", target)
+
+
+def test_scratch(spark):
+    rows = spark.range(5)
+    kept = staging.staged(spark, rows, "kept")
+    with staging.scratch(spark):
+        made, path = staging.written(spark, rows, "gone")
+        assert made.count() == 5 and logs.there(spark, path)
+    assert not logs.there(spark, path) and kept.count() == 5
