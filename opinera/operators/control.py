@@ -97,6 +97,24 @@ class Steps:
         write_json(self.path, self.state)
 
 
+#: What an onboarding run does, in order.
+PHASES = ("runtime", "prepare", "crawl", "validate", "publish_bronze", "verify_bronze", "silver", "gold", "analytics", "serving", "readiness", "activate")
+
+
+def run_phases(steps: Steps, lock: str | Path, actions: dict[str, Callable[[], None]], stop_after: str | None = None) -> str:
+    """Runs every phase that isn't done, one run at a time. The status it ends with: COMPLETED, or PAUSED after stop_after."""
+    if missing := [p for p in PHASES if p not in actions]:
+        raise ValueError(f"no action for {missing}")
+    with exclusive(lock):
+        for phase in PHASES:
+            steps.run(phase, actions[phase])
+            if phase == stop_after:
+                steps.finish("PAUSED")
+                return "PAUSED"
+        steps.finish()
+    return "COMPLETED"
+
+
 #: Steps before which a failed batch has touched nothing downstream.
 BEFORE_CRAWL = ("manifest", "preflight", "metadata", "crawl")
 
@@ -138,3 +156,34 @@ def to_probe(candidates: DataFrame, cache: DataFrame, snapshot: str, period: str
     """Candidates whose feasibility isn't known for this snapshot and week."""
     known = cache.where((F.col("snapshot_id") == snapshot) & (F.col("period") == period)).select("appid")
     return candidates.join(known, "appid", "left_anti")
+
+
+def abandon_stale(state: dict, registry: DataFrame, queue: DataFrame, games: DataFrame, scheduler: dict) -> dict:
+    """The state of a batch that failed while crawling and was cleared away by hand: its games are new and unqueued, and
+    the scheduler has nothing under way. Nothing but the state changes."""
+    if state.get("status") != "FAILED" or state.get("current_phase") != "crawl":
+        raise RuntimeError("only a batch that failed while crawling can be abandoned")
+    if scheduler.get("active_batch"):
+        raise RuntimeError(f"the scheduler has {scheduler['active_batch']} under way")
+    strange = registry.join(games.select("appid"), "appid", "left_semi").where("state <> 'NEW' OR state IS NULL").limit(1).collect()
+    if strange:
+        raise RuntimeError(f"game {strange[0]['appid']} is {strange[0]['state']}, not new")
+    if not queue.join(games.select("appid"), "appid", "left_semi").isEmpty():
+        raise RuntimeError("games of the batch are still queued")
+    return state | {"status": "ABANDONED"}
+
+
+def run_refresh(state: dict, rows: int, now: datetime, train: tuple[bool, str], actions: dict[str, Callable[[], None]]) -> dict:
+    """The state after a refresh of the published base: reports follow if its rows changed, training if it is due.
+
+    actions: snapshot, analytics and training. Each step is in the state once it is done, so a run after a failure doesn't
+    publish twice what is out already.
+    """
+    done = dict(state)
+    for step in refresh_steps(rows, state.get("published_rows"), train[0]):
+        actions[step]()
+        if step == "analytics":
+            done["published_rows"] = rows
+        if step == "training":
+            done |= {"trained_rows": rows, "trained_at": now.isoformat()}
+    return done | {"last_run_at": now.isoformat(), "training_reason": train[1]}

@@ -1,7 +1,9 @@
 """Which items are let in, in what state they are, and when models and snapshots are due."""
 
+import json
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -108,3 +110,69 @@ def retrain(rows: int, now: datetime, trained_rows: int | None, trained_at: date
 def fill_ranked(rows: DataFrame, key: str, order: list[Column], most: int) -> DataFrame:
     """The newest `most` rows of each key."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("_n") <= most).drop("_n")
+
+
+@dataclass(frozen=True)
+class Plan:
+    """A policy file: what is let in, how much at once, and how the catalog is read."""
+
+    version: int
+    qualification: Policy
+    target_reviews_per_game: int
+    max_new_games_per_cycle: int
+    frequency: str
+    refresh: bool
+    page_size: int
+    max_pages: int
+    request_delay_seconds: float
+    max_attempts: int
+    exponential_backoff: bool
+
+
+def _checked(values: dict, section: str, name: str, kind: type, least: float | None = None):
+    value = values.get(name)
+    right = isinstance(value, kind) if kind is bool else isinstance(value, (int, float) if kind is float else kind) and not isinstance(value, bool)
+    if not right or (least is not None and value < least) or (kind is str and not value.strip()):
+        raise ValueError(f"{section}.{name}: {value!r}")
+    return value
+
+
+def load_plan(path: str | Path) -> Plan:
+    """Of a JSON file; anything missing or of another type or size is named."""
+    try:
+        root = json.loads(Path(path).read_text(encoding="utf-8"))
+    except (OSError, json.JSONDecodeError) as error:
+        raise ValueError(f"{path}: {error}") from error
+    parts = {n: root.get(n) if isinstance(root, dict) else None for n in ("qualification", "onboarding", "discovery", "catalog_refresh", "retry")}
+    if missing := sorted(n for n, p in parts.items() if not isinstance(p, dict)):
+        raise ValueError(f"{path} lacks {missing}")
+    of = lambda section, name, kind, least=None: _checked(parts[section], section, name, kind, least)
+    played = parts["qualification"].get("min_playtime_minutes")
+    rules = Policy(
+        of("qualification", "app_type", str), of("qualification", "min_release_age_days", int, 0), of("qualification", "min_total_reviews", int, 0), of("qualification", "require_metadata", bool),
+        of("qualification", "require_review_endpoint", bool), None if played is None else of("qualification", "min_playtime_minutes", int, 0),
+    )
+    return Plan(
+        _checked(root, "policy", "version", int, 1), rules, of("onboarding", "target_reviews_per_game", int, 1), of("onboarding", "max_new_games_per_cycle", int, 1), of("discovery", "frequency", str).upper(),
+        of("catalog_refresh", "enabled", bool), of("catalog_refresh", "page_size", int, 1), of("catalog_refresh", "max_pages", int, 1), of("catalog_refresh", "request_delay_seconds", float, 0), of("retry", "max_attempts", int, 1), of("retry", "exponential_backoff", bool),
+    )
+
+
+def partitioned(candidates: DataFrame, policy: Policy, today: str, order: str) -> DataFrame:
+    """One row a candidate with outcome: QUALIFIED, REJECTED, or FAILED for ids that aren't positive, which all stay.
+
+    Of a repeated id the first by `order` counts; repeats says how many others it had.
+    """
+    bad = ~F.coalesce(F.col("appid") > 0, F.lit(False))
+    rest = [c for c in candidates.columns if c not in ("appid", order)]
+    first = candidates.where(~bad).groupBy("appid").agg(F.min_by(F.struct(*rest, order), F.col(order)).alias("r"), (F.count("*") - 1).alias("repeats")).select("appid", "r.*", "repeats")
+    judged = qualify(first, policy, today)
+    judged = judged.withColumn("outcome", F.when(F.col("qualified"), F.lit("QUALIFIED")).otherwise(F.lit("REJECTED")))
+    return judged.unionByName(candidates.where(bad).withColumns({"repeats": F.lit(0).cast("long"), "outcome": F.lit("FAILED")}), allowMissingColumns=True)
+
+
+def queue_rows(queue: DataFrame, registry: DataFrame, target: int) -> DataFrame:
+    """Every queued game of the registry once, under the queue's name for it or the registry's, with its target."""
+    named = queue.groupBy("appid").agg(F.min("name").alias("_queued"))
+    rows = registry.where("state = 'QUEUED'").join(named, "appid", "left")
+    return rows.select("appid", F.coalesce(F.nullif(F.trim("_queued"), F.lit("")), "name").alias("name"), F.lit(target).alias("target_reviews"))

@@ -514,6 +514,40 @@ def evidence_gaps(spark, d):
     return staged.evidence_gaps(table(spark, d, "orders").select(F.col("o_orderkey").alias("appid")), {"lines": table(spark, d, "lineitem").select(F.col("l_orderkey").alias("appid"))})
 
 
+@query(f"""WITH {SQL_GAMES}, c AS (SELECT o_custkey AS appid, o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'dlc' ELSE 'game' END AS app_type, '2020-01-01' AS release_date, CAST(floor(o_totalprice / 100) AS BIGINT) AS total_reviews FROM orders)
+SELECT outcome, count(*) AS candidates, CAST(sum(repeats) AS BIGINT) AS repeats FROM (SELECT CASE WHEN arg_min(app_type, o_orderkey) = 'game' AND arg_min(total_reviews, o_orderkey) >= 500 THEN 'QUALIFIED' ELSE 'REJECTED' END AS outcome, count(*) - 1 AS repeats FROM c WHERE appid > 0 GROUP BY appid UNION ALL SELECT 'FAILED', 0 FROM c WHERE appid <= 0) GROUP BY outcome""")
+def candidate_outcomes(spark, d):
+    """Orders as candidates, the first of a customer's counts; customer 0 has no valid id."""
+    rows = table(spark, d, "orders").selectExpr("o_custkey AS appid", "o_orderkey", "CASE WHEN o_orderstatus = 'F' THEN 'dlc' ELSE 'game' END AS app_type", "'2020-01-01' AS release_date", "CAST(floor(o_totalprice / 100) AS BIGINT) AS total_reviews", "true AS metadata_available", "true AS review_endpoint_available")
+    found = lifecycle.partitioned(rows, lifecycle.Policy(), _TODAY, "o_orderkey")
+    return found.groupBy("outcome").agg(F.count("*").alias("candidates"), F.sum("repeats").alias("repeats"))
+
+
+@query("SELECT p_partkey AS appid, coalesce(s_name, p_name) AS name, 2000 AS target_reviews FROM part LEFT JOIN supplier ON s_suppkey = p_partkey WHERE p_size < 20")
+def queue_of_registry(spark, d):
+    registry = table(spark, d, "part").select(F.col("p_partkey").alias("appid"), F.col("p_name").alias("name"), F.when(F.col("p_size") < 20, "QUEUED").otherwise("ACTIVE").alias("state"))
+    return lifecycle.queue_rows(table(spark, d, "supplier").select(F.col("s_suppkey").alias("appid"), F.col("s_name").alias("name")), registry, 2000)
+
+
+@query("SELECT 'first' AS run, 0::BIGINT AS matched, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'O') AS upserted, 0::BIGINT AS deleted UNION ALL SELECT 'second', (SELECT count(*) FROM orders WHERE o_orderstatus = 'P'), (SELECT count(*) FROM orders WHERE o_orderstatus = 'O'), (SELECT count(*) FROM orders WHERE o_orderstatus = 'F')")
+def replaced_snapshot(spark, d):
+    """Two snapshots one after the other in the same place, and what each did to the keys."""
+    path, orders = new_folder(spark, "snapshot"), table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    runs = (("first", orders.where("o_orderstatus <> 'O'")), ("second", orders.where("o_orderstatus <> 'F'")))
+    done = [(name, *snapshots.replace_snapshot(spark, path, rows, ["o_orderkey"]).values()) for name, rows in runs]
+    return spark.createDataFrame(done, "run string, matched long, upserted long, deleted long")
+
+
+@query("SELECT count(*) AS reviews, count(DISTINCT l_partkey) AS games, CAST(sum(l_linenumber) AS BIGINT) AS votes_up, count(*) AS keyed FROM lineitem")
+def landed_files(spark, d):
+    """Reviews landed as JSON lines, a folder of files a game, read back by the schema; the path tells the game as well."""
+    folder = new_folder(spark, "landed")
+    rows = landed.landed_reviews(spark, d)
+    rows.select((F.col("appid") % 8).alias("shelf"), F.to_json(F.struct(*rows.columns)).alias("value")).write.partitionBy("shelf").text(folder)
+    found = files.with_key_from_path(files.read_reviews(spark, folder), r"shelf=(\d+)/", "shelf_of_path")
+    return found.agg(F.count("*").alias("reviews"), F.count_distinct("appid").alias("games"), F.sum("review.votes_up").cast("long").alias("votes_up"), F.count_if(F.col("shelf_of_path") == F.col("appid") % 8).alias("keyed"))
+
+
 # learning
 
 _LOG1P = "CASE WHEN {0} >= 0 THEN ln(1 + {0}) END"

@@ -152,3 +152,33 @@ def register_pages(spark: SparkSession, name: str, fetch: Callable[[str, str], d
             return _Pages(fetch, items, int(self.options.get("pages", "3")))
 
     spark.dataSource.register(Pages)
+
+
+@dataclass(frozen=True)
+class Feasibility:
+    rows: int
+    status: str
+    pages: int
+
+    @property
+    def feasible(self) -> bool:
+        return self.status == "TARGET_REACHED"
+
+
+def probe(fetch: Callable[[str], dict], target: int, idle_pages: int = 3) -> Feasibility:
+    """Whether a walk gets to target new rows: it ends there, at the end, or after pages in a row without anything new."""
+    if target < 1:
+        raise ValueError("a probe wants at least one row")
+    seen: set[str] = set()
+    pages = idle = 0
+    for pages, _, body in walk(fetch):  # noqa: B007
+        before = len(seen)
+        for row in body["rows"]:
+            if wanted(row, seen):
+                seen.add(str(row["recommendationid"]).strip())
+        if len(seen) >= target:
+            return Feasibility(target, "TARGET_REACHED", pages)
+        idle = 0 if len(seen) > before else idle + 1
+        if idle >= idle_pages:
+            return Feasibility(len(seen), "EXHAUSTED_STAGNANT", pages)
+    return Feasibility(len(seen), "EXHAUSTED", pages)

@@ -95,3 +95,34 @@ def test_outbox(spark):
     assert mark.count() == 2 and [r["event_id"] for r in events.collect()] == ["review:1:b"]
     assert outbox.gaps(polled, seen, started).count() == 0 and outbox.gaps(polled, seen.limit(0), started).first()["appid"] == 1
     assert outbox.unsent(events, events.limit(0)).count() == 1
+
+
+def test_phases(tmp_path):
+    ran = []
+    actions = {p: (lambda p=p: ran.append(p)) for p in control.PHASES}
+    steps = lambda: control.Steps(tmp_path / "state.json", "b1")
+    assert control.run_phases(steps(), tmp_path / "lock", actions, "crawl") == "PAUSED" and ran == list(control.PHASES[:3])
+    broken = actions | {"silver": lambda: 1 / 0}
+    with pytest.raises(ZeroDivisionError):
+        control.run_phases(steps(), tmp_path / "lock", broken)
+    assert control.run_phases(steps(), tmp_path / "lock", actions) == "COMPLETED" and ran == list(control.PHASES)
+    with pytest.raises(ValueError, match="activate"):
+        control.run_phases(steps(), tmp_path / "lock", {})
+
+
+def test_abandon_and_refresh(spark):
+    import datetime as dt
+
+    registry, games = spark.createDataFrame([(1, "NEW"), (2, "ACTIVE")], "appid int, state string"), spark.createDataFrame([(1,)], "appid int")
+    failed = {"status": "FAILED", "current_phase": "crawl"}
+    assert control.abandon_stale(failed, registry, games.limit(0), games, {})["status"] == "ABANDONED"
+    for bad in ((failed | {"current_phase": "gold"}, registry, games.limit(0), games, {}), (failed, registry, games, games, {}), (failed, registry, games.limit(0), games, {"active_batch": "b"}), (failed, registry, games.limit(0), registry, {})):
+        with pytest.raises(RuntimeError):
+            control.abandon_stale(*bad)
+    ran, now = [], dt.datetime(2024, 1, 1)
+    actions = {a: (lambda a=a: ran.append(a)) for a in ("snapshot", "analytics", "training")}
+    state = control.run_refresh({}, 10, now, (True, "NO_PRIOR_TRAINING"), actions)
+    assert (ran, state["published_rows"], state["trained_rows"]) == (["snapshot", "analytics", "training"], 10, 10)
+    assert control.run_refresh(state, 10, now, (False, "NO_NEW_ROWS"), actions)["training_reason"] == "NO_NEW_ROWS" and ran[3:] == ["snapshot"]
+    with pytest.raises(ValueError):
+        control.run_refresh(state, 9, now, (False, ""), actions)

@@ -97,3 +97,35 @@ def test_snapshots_and_ranking(spark):
     with pytest.raises(ValueError):
         ranking.page(a, [F.asc("k")], 0, 10)
     assert [r[0] for r in a.orderBy(ranking.domain_order(F.col("k"), [2, 1])).select("k").collect()] == [2, 1]
+
+
+def test_plan_file(tmp_path):
+    import json
+
+    good = {
+        "version": 1, "qualification": {"app_type": "game", "min_release_age_days": 30, "min_total_reviews": 2000, "require_metadata": True, "require_review_endpoint": True, "min_playtime_minutes": None},
+        "onboarding": {"target_reviews_per_game": 2000, "max_new_games_per_cycle": 10}, "discovery": {"frequency": "weekly"},
+        "catalog_refresh": {"enabled": True, "page_size": 50, "max_pages": 4, "request_delay_seconds": 0.8}, "retry": {"max_attempts": 3, "exponential_backoff": True},
+    }
+    path = tmp_path / "policy.json"
+    path.write_text(json.dumps(good))
+    plan = lifecycle.load_plan(path)
+    assert (plan.frequency, plan.qualification.min_total_reviews, plan.request_delay_seconds) == ("WEEKLY", 2000, 0.8)
+    for section, name, value in (("retry", "max_attempts", 0), ("qualification", "require_metadata", 1), ("onboarding", "target_reviews_per_game", True), ("discovery", "frequency", " ")):
+        path.write_text(json.dumps(good | {section: good[section] | {name: value}}))
+        with pytest.raises(ValueError, match=name):
+            lifecycle.load_plan(path)
+    path.write_text(json.dumps({"version": 1}))
+    with pytest.raises(ValueError, match="lacks"):
+        lifecycle.load_plan(path)
+    with pytest.raises(ValueError):
+        lifecycle.load_plan(tmp_path / "none.json")
+
+
+def test_replaced_snapshot(spark, tmp_path):
+    path, rows = f"{tmp_path}/snap", spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert snapshots.replace_snapshot(spark, path, rows, ["k"]) == {"matched": 0, "upserted": 2, "deleted": 0}
+    assert snapshots.replace_snapshot(spark, path, rows.withColumn("k", F.col("k") + 1), ["k"]) == {"matched": 1, "upserted": 1, "deleted": 1}
+    with pytest.raises(ValueError, match="empty"):
+        snapshots.replace_snapshot(spark, path, rows.limit(0), ["k"])
+    assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == [2, 3]

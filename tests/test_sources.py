@@ -108,3 +108,16 @@ def test_scratch(spark):
         made, path = staging.written(spark, rows, "gone")
         assert made.count() == 5 and logs.there(spark, path)
     assert not logs.there(spark, path) and kept.count() == 5
+
+
+def test_probe(tmp_path):
+    assert paging.probe(_fetch, 3) == paging.Feasibility(3, "TARGET_REACHED", 3) and paging.probe(_fetch, 3).feasible
+    assert paging.probe(_fetch, 9) == paging.Feasibility(4, "EXHAUSTED", 4)
+    same = lambda c: {"rows": [{"recommendationid": "1", "language": "english"}], "cursor": c + "x"}
+    assert paging.probe(same, 2) == paging.Feasibility(1, "EXHAUSTED_STAGNANT", 4)
+    from opinera.sources import files
+
+    (tmp_path / "a").write_text("x")
+    (tmp_path / "b").write_text("y")
+    both = [tmp_path / "a", tmp_path / "b"]
+    assert files.fingerprint(both) == files.fingerprint(both) != files.fingerprint(both[::-1])
