@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from opinera.sources.staging import staged
 
 WINDOW = 13
-#: Bytes of test windows (hashes, words, item ids) up to which they are broadcast; beyond, the join deals them out.
+#: Bytes of test windows (hashes, words, item ids), and of hits, up to which they are broadcast; beyond, the join deals them out.
 BROADCAST_BYTES = 64 << 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -84,15 +84,18 @@ def hits(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int
         true = F.slice("w", F.col("pos") + 1, length) == F.col("win")
         one = places.join(tests, "hash").where(true).select("id", "th", F.struct("pos", F.lit(length).alias("len")).alias("at"), "items")
         found = one if found is None else found.unionAll(one)
-    both = rows.withColumns({"id": F.col("row.doc_id"), "th": F.xxhash64("row.text"), "words": words_of(F.col("row.text"))})
     if found is None:
-        return both.select("row", "words", F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
+        return rows.select("row", words_of(F.col("row.text")).alias("words"), F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
     # equal rows have equal hits, so sets; a place's windows are as many as their lengths
     each = found.groupBy("id", "th").agg(F.collect_set("at").alias("at"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     spans = F.transform("at", lambda c: F.sequence(c["pos"], c["pos"] + c["len"] - 1))
     each = each.select(F.col("id").alias("hit_id"), F.col("th").alias("hit_th"), F.array_sort(F.array_distinct(F.flatten(spans))).alias("hits"), "items")
-    both = both.join(each, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("th") == F.col("hit_th")), "left")
-    return both.select("row", "words", F.coalesce("hits", F.array().cast("array<int>")).alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    each = staged(spark, each, "hits")
+    size = each.agg(F.coalesce(F.sum(F.size("hits") * 4 + F.octet_length(F.concat_ws(" ", "items")) + 16 * F.size("items") + 64), F.lit(0))).first()[0]
+    keyed = rows.withColumns({"id": F.col("row.doc_id"), "th": F.xxhash64("row.text")})
+    # few documents are hit as a rule: if their hits are within the limit, the texts stay where they are
+    both = keyed.join(F.broadcast(each) if size <= BROADCAST_BYTES else each, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("th") == F.col("hit_th")), "left")
+    return both.select("row", words_of(F.col("row.text")).alias("words"), F.coalesce("hits", F.array().cast("array<int>")).alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def is_contaminated(share: int = 20) -> Column:

@@ -33,7 +33,9 @@ BANDS = 10
 SKETCH = 128
 _MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(SKETCH)], np.uint64)
 #: Node pairs that a task expands at once.
-PAIRS_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 18
+#: Texts of loose components up to which their keys (40 bytes each) are broadcast; beyond, the texts are dealt out.
+BROADCAST_KEYS = 1_000_000
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -312,8 +314,10 @@ def confirmed(docs: DataFrame, rows: DataFrame, loosely: DataFrame, width: int,
     members = loosely.unionAll(loosely.select(F.col("v").alias("u"), "v")).distinct().withColumnsRenamed({"u": "node", "v": "root"})
     one = rows.join(members, "node").groupBy("node", "root").agg(F.max(F.struct(F.col(id_col).alias("id"), "th")).alias("r"))
     one = one.select("root", F.col("r.id").alias("_id"), F.col("r.th").alias("_th"), F.col("node").alias("_node"))
+    one = staged(docs.sparkSession, one, "members")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64("text").alias("th"), "text")
-    found = texts.join(one, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "root", "_node")
+    few = one.count() <= BROADCAST_KEYS
+    found = texts.join(F.broadcast(one) if few else one, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "root", "_node")
 
     def take(batches):
         for batch in batches:

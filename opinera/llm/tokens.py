@@ -14,8 +14,10 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the unit o
 
 from tokenizers import Tokenizer  # noqa: E402
 
+from opinera.llm.memos import claim  # noqa: E402
+
 #: Units kept by a worker. Beyond that, units are encoded each time: slower, same ids.
-MEMO_UNITS = 700_000
+MEMO_UNITS = 500_000
 #: Longer units are not kept, so that the memo's memory is bounded too.
 MEMO_CHARS = 40
 
@@ -23,9 +25,10 @@ _encoders: dict[str, "UnitEncoder"] = {}
 
 
 def encoder(path: str) -> "UnitEncoder":
-    """One per worker and file."""
+    """One per worker and file. Its memo goes when the worker turns to another operator's work, the tokenizer stays."""
     if path not in _encoders:
         _encoders[path] = UnitEncoder(path)
+    claim(f"tokens {path}", _encoders[path].memo.clear)
     return _encoders[path]
 
 

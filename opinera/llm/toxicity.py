@@ -22,6 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opinera.llm.memos import claim
+from opinera.llm.repeats import pack, unpack
+
 BUCKETS = 1 << 17
 DIM = 8
 GRAMS = (3, 4, 5)
@@ -30,7 +33,9 @@ RATE = 0.5
 #: The fit's bound: at most so many labelled rows, each with its whole text.
 SAMPLE_ROWS = 6000
 #: Words a worker keeps.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 400_000
+#: Words whose features are kept while bags are made.
+BAG_WORDS = 50_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -44,23 +49,27 @@ def word_features(word: str) -> list[int]:
     return found
 
 
-def feature_bag(text: str | None, memo: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the features of a whole text and the share of each; memo keeps those of words."""
+def feature_counts(text: str | None, memo: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the features of a whole text, ascending, and how often each is there; memo keeps those of words."""
     words = Counter(_WORD.findall((text or "").lower()))
     if not words:
-        return np.empty(0, np.int32), np.empty(0, np.float32)
+        return np.empty(0, np.int32), np.empty(0, np.uint32)
     parts = []
     for w in words:
         found = memo.get(w)
         if found is None:
             found = np.array(word_features(w), np.int32)
-            if len(memo) < MEMO_WORDS and len(w) <= 40:
+            if len(memo) < BAG_WORDS and len(w) <= 40:
                 memo[w] = found
         parts.append(found)
     times = np.repeat(list(words.values()), [len(x) for x in parts])
     ids, at = np.unique(np.concatenate(parts), return_inverse=True)
-    n = np.bincount(at, times)
-    return ids, (n / n.sum()).astype(np.float32)
+    return ids, np.bincount(at, times).astype(np.uint32)
+
+
+def bag(ids: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and shares."""
+    return ids, (times / max(1, times.sum())).astype(np.float32)
 
 
 class Model:
@@ -124,7 +133,7 @@ def _calibration(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(texts: list[str | None], labels: list[int], seed: int = 11) -> Model:
     memo: dict[str, np.ndarray] = {}
-    return fit_bags([feature_bag(t, memo) for t in texts], labels, seed)
+    return fit_bags([bag(*feature_counts(t, memo)) for t in texts], labels, seed)
 
 
 def fit_bags(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], seed: int = 11) -> Model:
@@ -159,14 +168,19 @@ def fit_on(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     def bags(batches):
         memo: dict[str, np.ndarray] = {}
         for batch in batches:
-            made = [feature_bag(t.as_py(), memo) for t in batch.column(0)]
-            packed = [pa.array([b[k].tobytes() for b in made], pa.binary()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *packed], ["doc_id", "toxic", "places", "weights"])
+            made = [feature_counts(t.as_py(), memo) for t in batch.column(0)]
+            packed = pa.array([pack([np.diff(ids, prepend=0).astype(np.uint32), times]) for ids, times in made], pa.binary())  # steps are small and compress
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], packed], ["doc_id", "toxic", "bag"])
 
-    schema = rows.select("doc_id", "toxic").schema.add("places", "binary").add("weights", "binary")
+    schema = rows.select("doc_id", "toxic").schema.add("bag", "binary")
     made = rows.select("text", "doc_id", "toxic").mapInArrow(bags, schema)
     sample = sorted(made.collect(), key=lambda r: r["doc_id"])  # a bag a sampled row, no texts
-    return fit_bags([(np.frombuffer(r["places"], np.int32), np.frombuffer(r["weights"], np.float32)) for r in sample], [int(r["toxic"]) for r in sample])
+    labels_, bags_ = [int(r["toxic"]) for r in sample], []
+    for r in sample:
+        steps, times = unpack(r["bag"])
+        bags_.append(bag(np.cumsum(steps, dtype=np.int32), times))
+    del sample
+    return fit_bags(bags_, labels_)
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -189,6 +203,7 @@ _models: dict[str, Model] = {}
 
 def _local(name: str, sent) -> Model:
     """One model a worker and broadcast, so that its memo of words outlives a task."""
+    claim("toxicity", _models.clear)
     if name not in _models:
         _models.clear()
         share, bias = sent.value

@@ -488,6 +488,18 @@ def test_toxicity(spark, hard, empty):
     assert toxicity.toxic_scores(spark, hard, labels.limit(0)).where("score <> 0.5").count() == 0 and toxicity.toxic_scores(spark, empty, labels).count() == 0
 
 
+def test_toxicity_on_held_out_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    found = toxicity.toxic_scores(spark, docs, labels).where("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").toPandas()
+    toxic, rank = found.toxic == 1, found.score.rank()
+    n = int(toxic.sum())
+    area = (rank[toxic].sum() - n * (n + 1) / 2) / (n * (len(found) - n))
+    assert area > 0.92 and found.predicted[toxic].mean() > 0.6 and found.predicted[~toxic].mean() < 0.05, area
+
+
 def test_toxicity_learns_from_whole_texts(spark):
     rng = random.Random(9)
     vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(300)]
