@@ -312,7 +312,8 @@ def confirmed(docs: DataFrame, rows: DataFrame, loosely: DataFrame, width: int,
     Sets of shingles are made once for a text of each node in a component, and each travels once, to its component's place.
     """
     members = loosely.unionAll(loosely.select(F.col("v").alias("u"), "v")).distinct().withColumnsRenamed({"u": "node", "v": "root"})
-    one = rows.join(members, "node").groupBy("node", "root").agg(F.max(F.struct(F.col(id_col).alias("id"), "th")).alias("r"))
+    # summed before the join, so that a node with many rows moves one row a task
+    one = rows.groupBy("node").agg(F.max(F.struct(F.col(id_col).alias("id"), "th")).alias("r")).join(members, "node")
     one = one.select("root", F.col("r.id").alias("_id"), F.col("r.th").alias("_th"), F.col("node").alias("_node"))
     one = staged(docs.sparkSession, one, "members")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64("text").alias("th"), "text")

@@ -405,6 +405,30 @@ def test_near_dedup_is_exact_around_the_threshold(spark):
     assert sorted(r[0] for r in kept.collect()) == _kept_by_brute_force(texts, pairs)
 
 
+def test_near_dedup_against_all_pairs(spark):
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in _texts(docs).items()}
+    holders: dict = {}
+    for i in sorted(sets):
+        for x in sets[i]:
+            holders.setdefault(x, []).append(i)
+    shared: dict = {}
+    for ids in holders.values():
+        for k, a in enumerate(ids):
+            for b in ids[k + 1 :]:
+                shared[a, b] = shared.get((a, b), 0) + 1
+    near = {p for p, n in shared.items() if n >= 0.8 * (len(sets[p[0]]) + len(sets[p[1]]) - n) - 1e-9}
+    empty_ = sorted(i for i in sets if not sets[i])
+    near |= {(empty_[0], b) for b in empty_[1:]}
+    assert len({b for _, b in near}) > 40
+    kept = {r[0] for r in simhash.keep_one_each(spark, docs).select("doc_id").collect()}
+    lost, missed = set(sets) - {b for _, b in near} - kept, {b for _, b in near} & kept
+    assert not lost and len(missed) <= 0.02 * len({b for _, b in near}), (lost, missed)
+
+
 def test_near_dedup_finds_short_copies(spark):
     rng, texts, pairs = random.Random(6), {}, []
     for i in range(300):
