@@ -67,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {op4_fm_substring_dedup.__name__: oracles.FM_DEDUP, op7_decontamination.__name__: oracles.DECONTAMINATION}
+    return {op4_fm_substring_dedup.__name__: oracles.FM_DEDUP, op5_suffix_array_dedup.__name__: oracles.SA_DEDUP, op7_decontamination.__name__: oracles.DECONTAMINATION}

@@ -135,6 +135,21 @@ def test_sharding(spark, plain, hard, empty):
     assert sharding.shard_documents(spark, empty, 4).count() == 0
 
 
+def test_sharding_interleaves_as_by_hand(spark, plain, hard):
+    for docs, shards in ((plain, 7), (hard.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), 5)):
+        rows, place = docs.select("doc_id", "source", "text").collect(), []
+        sources: dict = {}
+        for r in rows:
+            sources.setdefault(r["source"], []).append((int(hashlib.md5(f"17:{r['doc_id']}".encode()).hexdigest()[:15], 16), r["doc_id"]))
+        for source, ids in sources.items():
+            place += [((k + 0.5) / len(ids), source is not None, source or "", h, i) for k, (h, i) in enumerate(sorted(ids))]
+        want = {}
+        for p, (*_, i) in enumerate(sorted(place)):
+            shard = p * shards // len(rows)
+            want[i] = (shard, p - -(-shard * len(rows) // shards))
+        assert {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shard_documents(spark, docs, shards).collect()} == want
+
+
 def test_sstable(spark, hard, empty):
     library = Tokenizer.from_file(PATH)
     found = sstable.token_tables(spark, hard, PATH, 2).toPandas().sort_values("start")
@@ -569,5 +584,17 @@ def test_pipeline_stages(spark, plain):
     assert packed.select("doc_id").distinct().count() == docs.count() > 100
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_same_as_sql(spark, plain, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
+    want = con.sql(queries.oracle_sql()[name]).df()
+    found = queries.queries()[name](spark, FOLDER).toPandas()[list(want.columns)]
+    assert sorted(map(str, found.itertuples(index=False))) == sorted(map(str, want.itertuples(index=False)))
+
+
 def test_queries_are_whole(spark):
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 11))
