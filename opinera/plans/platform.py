@@ -16,7 +16,7 @@ from opinera.sources import catalog, files, logs
 from opinera.sources.staging import new_folder
 from opinera.sources.tables import table
 from opinera.streaming import events as ev
-from opinera.streaming import outbox, wiring
+from opinera.streaming import contract, outbox, wiring
 
 _LIVE = "timestamp_created >= 946684800"
 
@@ -402,6 +402,23 @@ def outbox_events(spark, d):
     return every.join(events.select("recommendationid"), "recommendationid", "left_semi")
 
 
+_ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%S+00:00')"
+
+
+@query(f"WITH {SQL_REVIEWS} SELECT 'REVIEW_CREATED:' || appid || ':' || recommendationid AS event_id, {_ISO.format('make_timestamp(timestamp_created * 1000000)')} AS event_time, votes_up, CASE WHEN appid <= 0 THEN 'appid must be positive' ELSE '' END AS unfit FROM review")
+def review_envelopes(spark, d):
+    found = contract.review_envelopes(landed.landed_reviews(spark, d), "2024-01-01T00:00:00+00:00")
+    return found.select("event_id", "event_time", F.col("payload.votes_up").alias("votes_up"), "unfit")
+
+
+@query(f"SELECT 'PLAYER_COUNT_SNAPSHOT:' || user_id || CASE WHEN event_id % 5 <> 0 THEN ':' || moment ELSE '' END AS event_id, CASE WHEN event_id % 5 <> 0 THEN moment END AS event_time, concat_ws(';', CASE WHEN user_id <= 0 THEN 'appid must be positive' END, CASE WHEN event_id % 7 = 0 THEN 'player_count must not be negative' END, CASE WHEN event_id % 5 = 0 THEN 'observed_at must have a zone' END) AS unfit FROM (SELECT *, {_ISO.format('ts - INTERVAL 2 HOURS')} AS moment FROM events)")
+def player_envelopes(spark, d):
+    """Counts observed in a zone two hours ahead; some without a zone, some negative."""
+    local = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("event_id") % 5 == 0, "").otherwise("+02:00"))
+    rows = table(spark, d, "events").select(F.col("user_id").alias("appid"), F.when(F.col("event_id") % 7 == 0, -1).otherwise(1).alias("player_count"), local.alias("observed_at"), F.lit("2024-01-01T00:00:00Z").alias("produced_at"))
+    return contract.player_envelopes(rows).select("event_id", "event_time", "unfit")
+
+
 # the control plane
 
 _TODAY = "2022-06-30"

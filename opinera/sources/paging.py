@@ -182,3 +182,15 @@ def probe(fetch: Callable[[str], dict], target: int, idle_pages: int = 3) -> Fea
         if idle >= idle_pages:
             return Feasibility(len(seen), "EXHAUSTED_STAGNANT", pages)
     return Feasibility(len(seen), "EXHAUSTED", pages)
+
+
+def player_count(get: Callable[[], Response], retry: Retry = Retry(attempts=3, fatal=()), sleep: Callable[[float], None] = time.sleep) -> int:
+    """The number of players that a good answer has; an answer that says it failed, or has no such number, is asked for again."""
+    for attempt in range(1, retry.attempts + 1):
+        body = ask(get, retry, sleep).get("response")
+        count = body.get("player_count") if isinstance(body, dict) and body.get("result") == 1 else None
+        if isinstance(count, int) and not isinstance(count, bool) and count >= 0:
+            return count
+        if attempt < retry.attempts:
+            sleep(min(30.0, retry.wait(attempt)))
+    raise Refused("no player count in the answer")

@@ -7,13 +7,7 @@ the record, so sending twice is harmless downstream. A poll that ends before it
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def review_event_id(appid, recommendationid):
-    return F.concat_ws(":", F.lit("review"), appid.cast("string"), recommendationid)
-
-
-def player_event_id(appid, observed_at):
-    return F.concat_ws(":", F.lit("player-count"), appid.cast("string"), F.date_format(observed_at, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+from opinera.streaming.contract import review_event_id
 
 
 def split_poll(polled: DataFrame, seen: DataFrame, started: DataFrame) -> tuple[DataFrame, DataFrame]:

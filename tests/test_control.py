@@ -92,7 +92,7 @@ def test_outbox(spark):
     polled = spark.createDataFrame([(1, "a", 5), (1, "b", 6), (1, "b", 6), (2, "c", 7)], "appid int, recommendationid string, timestamp_created long")
     seen, started = spark.createDataFrame([(1, "a")], "appid int, recommendationid string"), spark.createDataFrame([(1,)], "appid int")
     mark, events = outbox.split_poll(polled, seen, started)
-    assert mark.count() == 2 and [r["event_id"] for r in events.collect()] == ["review:1:b"]
+    assert mark.count() == 2 and [r["event_id"] for r in events.collect()] == ["REVIEW_CREATED:1:b"]
     assert outbox.gaps(polled, seen, started).count() == 0 and outbox.gaps(polled, seen.limit(0), started).first()["appid"] == 1
     assert outbox.unsent(events, events.limit(0)).count() == 1
 

@@ -102,3 +102,15 @@ def test_review_stream(spark, tmp_path):
     assert (count("archive"), count("reviews"), count("base")) == (6, 2, 2)
     window = events.newest(spark, paths.table("windows")).first()
     assert (window["review_count"], window["_id"]) == (2, "10:2024-01-01T00:00:00Z:2024-01-01T01:00:00Z")
+
+
+def test_envelopes(spark):
+    from opinera.streaming import contract
+
+    times = spark.createDataFrame([("2024-01-01T02:00:00+02:00",), ("2024-01-01T00:00:00.5Z",), ("2024-01-01T00:00:00",), ("soon",), (None,), (" 2024-01-01T00:00:00Z ",)], "t string")
+    assert [r[0] for r in times.select(contract.normalized(F.col("t"))).collect()] == ["2024-01-01T00:00:00+00:00", "2024-01-01T00:00:00.500000+00:00", None, None, None, "2024-01-01T00:00:00+00:00"]
+    polled = spark.createDataFrame([(10, (" r1", 1704067200)), (0, ("", 0)), (None, None)], "appid int, review struct<recommendationid:string,timestamp_created:bigint>")
+    good, bad, none = contract.review_envelopes(polled, "now").collect()
+    assert (good["event_id"], good["event_time"], good["unfit"]) == ("REVIEW_CREATED:10:r1", "2024-01-01T00:00:00+00:00", "")
+    assert bad["unfit"].count(";") == 2 and none["unfit"].count(";") == 2
+    assert contract.fit(contract.review_envelopes(polled, "now")).count() == 1

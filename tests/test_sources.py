@@ -121,3 +121,11 @@ def test_probe(tmp_path):
     (tmp_path / "b").write_text("y")
     both = [tmp_path / "a", tmp_path / "b"]
     assert files.fingerprint(both) == files.fingerprint(both) != files.fingerprint(both[::-1])
+
+
+def test_player_count():
+    answers = [{"response": {"result": 42}}, {"response": {"result": 1, "player_count": True}}, {"response": {"result": 1, "player_count": 7}}]
+    waits = []
+    assert paging.player_count(lambda: paging.Response(200, answers.pop(0)), sleep=waits.append) == 7 and waits == [2.0, 4.0]
+    with pytest.raises(paging.Refused):
+        paging.player_count(lambda: paging.Response(200, {}), sleep=waits.append)
