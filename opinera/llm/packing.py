@@ -11,7 +11,8 @@ n like pieces into a run moves the run, or splits it once. A move says: the piec
 b.., at an offset. Ranks are given in salted buckets of a length, so a length that holds a third of all rows is dealt
 over many tasks, and each row finds its move by binary search.
 
-Null texts are empty and have the separator only. Empty table: no rows. Repeated ids are documents of their own.
+Null texts are empty and have the separator only; texts may have any length. Empty table: no rows. Repeated ids are
+documents of their own. Other columns are not read.
 """
 
 import zlib

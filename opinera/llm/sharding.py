@@ -5,7 +5,8 @@ source. Sorting all rows by fractional rank interleaves the sources in proportio
 runs gives shards that differ by one row at most. Both orders are ranked in buckets (a bucket's rows, plus the rows of
 the buckets before it), so neither a hot source nor the whole table ever meets in one task.
 
-Null sources are a source of their own. Equal rows tie and may stand in for each other. An empty table gives no rows.
+Null sources are a source of their own. Equal rows tie and may stand in for each other. An empty table gives no rows. Of
+texts only length and checksum are taken, whatever their length; columns beside id, source and text are not read.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window

@@ -11,7 +11,8 @@ never all pairs of a group.
 
 Texts without words have fingerprint zero and link like others; null texts have no words. Equal texts share a
 fingerprint and cost one row after the first grouping. Rows with a null id get their group's class; a group with null
-ids only has a null class. An empty table gives no rows.
+ids only has a null class. An empty table gives no rows. Texts are hashed in parts, so any length will do. Columns beside
+id and text are not read; keep_one_each() returns them as they are, whatever their names.
 """
 
 from itertools import combinations, islice

@@ -10,7 +10,8 @@ starts afresh. Each block is a zlib frame. The sparse index has one entry a bloc
 The Bloom filter answers most lookups of missing keys without a block. The footer has the places of both and the totals.
 
 Keys are 9 bytes: 0 for null or 1, then the id in big-endian order with the sign bit turned, so bytes sort as ids do.
-Repeated ids stay, ordered by text. Null texts have no ids but the end id. An empty table gives no file and no rows.
+Repeated ids stay, ordered by text. Null texts have no ids but the end id; texts may have any length, and an entry is as
+long as its document. An empty table gives no file and no rows. Other columns are not read.
 Files are written under a name of the task's attempt and then renamed: a task that runs again puts the same bytes there.
 """
 
@@ -181,7 +182,7 @@ def open_table(uri: str) -> TableReader:
 
 
 def write_tables(spark: SparkSession, docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, partitions: int | None = None) -> DataFrame:
-    """One file a range of doc_id in folder. Rows: shard, path, docs, ids of each file, in key order by shard."""
+    """One file a range of doc_id in folder. Rows: shard, path, docs, ids, first and last (keys) of each file, in key order by shard."""
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // SHARD_ROWS))
     ordered = docs.select("doc_id", "text").repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
 
@@ -203,9 +204,9 @@ def write_tables(spark: SparkSession, docs: DataFrame, folder: str, tokenizer_pa
             writer.close()
             out.close()
             fs.move(at, f"{place}/shard-{shard:06d}.sst")
-            yield pa.RecordBatch.from_pylist([{"shard": shard, "path": path, "docs": writer.docs, "ids": writer.ids}])
+            yield pa.RecordBatch.from_pylist([{"shard": shard, "path": path, "docs": writer.docs, "ids": writer.ids, "first": writer.index[0][0], "last": writer.last}])
 
-    return ordered.mapInArrow(write, "shard long, path string, docs long, ids long")
+    return ordered.mapInArrow(write, "shard long, path string, docs long, ids long, first binary, last binary")
 
 
 def read_tables(tables: DataFrame) -> DataFrame:
@@ -230,6 +231,41 @@ def read_tables(tables: DataFrame) -> DataFrame:
     return tables.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+#: Files that a task of find_documents() holds open.
+OPEN_FILES = 8
+
+
+def find_documents(spark: SparkSession, files: list, ids: DataFrame) -> DataFrame:
+    """doc_id and tokens of each document of the files that has one of the ids (a column doc_id), by lookups.
+
+    files: rows of write_tables(), one a file. An id finds its files by binary search of their first keys, then the Bloom
+    filter and the block index of each answer; ids come in ranges, so a task opens few files. Ids that no file has give no
+    row; those of repeated documents give one each.
+    """
+    ranges = spark.sparkContext.broadcast(sorted((bytes(f["first"]), bytes(f["last"]), f["path"]) for f in files))  # a row a file
+    n = max(1, min(len(files), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+    def look(batches):
+        firsts, held = [r[0] for r in ranges.value], {}
+        for batch in batches:
+            found = []
+            for doc_id in batch.column(0).to_pylist():
+                key = key_bytes(doc_id)
+                at = bisect.bisect_right(firsts, key) - 1
+                while at >= 0 and ranges.value[at][1] >= key:  # a repeated id may go on into the next file
+                    path = ranges.value[at][2]
+                    if path not in held:
+                        if len(held) == OPEN_FILES:
+                            held.pop(next(iter(held)))
+                        held[path] = open_table(path)
+                    found += [(doc_id, tokens.astype(np.int64)) for tokens in held[path].get(doc_id)]
+                    at -= 1
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.array([t for _, t in found], pa.list_(pa.int64()))], ["doc_id", "tokens"])
+
+    asked = ids.select("doc_id").distinct().repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    return asked.mapInArrow(look, "doc_id long, tokens array<long>")
+
+
 def token_tables(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
     """Writes docs as table files in the shared folder and returns what the files say of each document.
 

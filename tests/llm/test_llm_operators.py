@@ -165,6 +165,11 @@ def test_sstable(spark, hard, empty):
     tables = [sstable.open_table(f["path"]) for f in files]
     assert sum(len(t.get(21)) for t in tables) == 2 and sum(len(t.get(None)) for t in tables) == 1 and not any(t.get(22) for t in tables)
     assert sum(len(t.get(9)) for t in tables) == 1
+    asked = [i for i, *_ in _rows()] + [22, -5, 10**9, None]
+    found = sstable.find_documents(spark, files, spark.createDataFrame([(i,) for i in asked], "doc_id long")).collect()
+    want = sorted(((i, library.encode(t or "", add_special_tokens=False).ids + [2]) for i, t, *_ in _rows()), key=repr)
+    assert sorted(((r["doc_id"], list(r["tokens"])) for r in found), key=repr) == want
+    assert sstable.find_documents(spark, [], empty.select("doc_id")).count() == 0
 
 
 def _words(text):
