@@ -107,8 +107,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, re
     """docs without contaminated documents, or without the hit spans (a word and what separates it from the next)."""
     found = hits(spark, docs, benchmark, window)
     if remove == "documents":
-        # written first: a filter pushed below would repeat the work of its columns
-        return staged(spark, found.select("row", is_contaminated().alias("gone")), "decided").where(~F.col("gone")).select("row.*")
+        return found.where(~is_contaminated()).select("row.*")  # only texts with hits are cut in words for that
     text = F.col("row.text")
     pieces = F.regexp_extract_all(text, F.lit(_PIECE), F.lit(1))
     kept = F.concat(F.regexp_extract(text, _LEAD, 1), F.array_join(F.filter(pieces, lambda _, i: ~F.array_contains("hits", i)), ""))
