@@ -1,8 +1,8 @@
 """Token ids of whole texts by the tokenizers library, with a memo of words.
 
 A byte-level BPE with the usual splitting rule never merges across a single space between two other characters, so a
-text is the first unit followed by units that each begin with that space. Units repeat far more often than texts do;
-each distinct unit goes through the library once per worker, as long as the memo has room. Texts for which the rule
+text is the first unit followed by units that each begin with that space. Units repeat far more often than texts do; a
+unit that a worker meets a second time is kept, as long as the memo has room, and doesn't go through the library again. Texts for which the rule
 doesn't hold (other white space beside a space, a leading or trailing space, the text of a special token) go through
 the library as a whole.
 """
@@ -17,10 +17,13 @@ from tokenizers import Tokenizer  # noqa: E402
 from opinera.llm.memos import claim  # noqa: E402
 
 #: Units kept by a worker. Beyond that, units are encoded each time: slower, same ids.
-MEMO_UNITS = 500_000
+MEMO_UNITS = 700_000
 #: Longer units are not kept, so that the memo's memory is bounded too.
 MEMO_CHARS = 40
 
+#: Units told apart among those met once; if two share a bit, one is kept too early.
+SEEN_BITS = 1 << 24
+
 _encoders: dict[str, "UnitEncoder"] = {}
 
 
@@ -44,6 +47,7 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
+        self.met = bytearray(SEEN_BITS >> 3)  # a bit a unit, by hash: most units come once, and those aren't kept
         self.id_bytes = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.letters = str.maketrans({chr(i): c for i, c in enumerate(_byte_letters())})
         self.model = self.tokenizer.model
@@ -69,7 +73,11 @@ class UnitEncoder:
         else:
             found = self.whole(f" {unit}")
         if len(self.memo) < MEMO_UNITS and len(unit) <= MEMO_CHARS:
-            self.memo[unit] = found
+            bit = hash(unit) & SEEN_BITS - 1
+            if self.met[bit >> 3] >> (bit & 7) & 1:
+                self.memo[unit] = found
+            else:
+                self.met[bit >> 3] |= 1 << (bit & 7)
         return found
 
     def encode(self, text: str | None) -> bytes:
