@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from opinera.llm.tokens import encoder
+from opinera.llm.tokens import MEMO_UNITS, encoder
 from opinera.sources.staging import staged
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -31,11 +31,14 @@ BUCKET_ROWS = 2048
 MOST_BUCKETS = 1 << 20
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, separator: int) -> DataFrame:
-    """Ids of each whole text and a separator, cut into pieces of capacity; a first piece takes the remainder."""
+def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, separator: int, memo_units: int = MEMO_UNITS) -> DataFrame:
+    """Ids of each whole text and a separator, cut into pieces of capacity; a first piece takes the remainder.
+
+    memo_units: how much a worker keeps; it changes memory and time, not ids.
+    """
 
     def cut(batches):
-        enc, end = encoder(tokenizer_path), separator.to_bytes(4, "little")
+        enc, end = encoder(tokenizer_path, memo_units), separator.to_bytes(4, "little")
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -135,5 +138,5 @@ def pack_pieces(spark: SparkSession, pieces: DataFrame, capacity: int = 2048, ma
     return ranked.mapInArrow(place, f"{PIECES}, sequence_id long, offset long, " + ", ".join(f"{n} long" for n in LEFT))
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: int = 2048, separator: int = 0, **options) -> DataFrame:
-    return pack_pieces(spark, staged(spark, token_pieces(docs, tokenizer_path, capacity, separator), "pieces"), capacity, **options)
+def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: int = 2048, separator: int = 0, memo_units: int = MEMO_UNITS, **options) -> DataFrame:
+    return pack_pieces(spark, staged(spark, token_pieces(docs, tokenizer_path, capacity, separator, memo_units), "pieces"), capacity, **options)

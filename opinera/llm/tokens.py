@@ -27,10 +27,11 @@ SEEN_BITS = 1 << 24
 _encoders: dict[str, "UnitEncoder"] = {}
 
 
-def encoder(path: str) -> "UnitEncoder":
+def encoder(path: str, most: int = MEMO_UNITS) -> "UnitEncoder":
     """One per worker and file. Its memo goes when the worker turns to another operator's work, the tokenizer stays."""
     if path not in _encoders:
         _encoders[path] = UnitEncoder(path)
+    _encoders[path].most = most
     claim(f"tokens {path}", _encoders[path].memo.clear)
     return _encoders[path]
 
@@ -47,6 +48,7 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
+        self.most = MEMO_UNITS
         self.met = bytearray(SEEN_BITS >> 3)  # a bit a unit, by hash: most units come once, and those aren't kept
         self.id_bytes = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.letters = str.maketrans({chr(i): c for i, c in enumerate(_byte_letters())})
@@ -72,7 +74,7 @@ class UnitEncoder:
             found = self._piece(f" {unit[:-1]}") + self._piece(unit[-1])
         else:
             found = self.whole(f" {unit}")
-        if len(self.memo) < MEMO_UNITS and len(unit) <= MEMO_CHARS:
+        if len(self.memo) < self.most and len(unit) <= MEMO_CHARS:
             bit = hash(unit) & SEEN_BITS - 1
             if self.met[bit >> 3] >> (bit & 7) & 1:
                 self.memo[unit] = found

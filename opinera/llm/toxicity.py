@@ -33,7 +33,9 @@ RATE = 0.5
 #: The fit's bound: at most so many labelled rows, each with its whole text.
 SAMPLE_ROWS = 6000
 #: Words a worker keeps.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 100_000
+#: Words told apart among those met once; if two share a bit, one is kept too early.
+SEEN_BITS = 1 << 24
 #: Words whose features are kept while bags are made.
 BAG_WORDS = 50_000
 
@@ -78,12 +80,17 @@ class Model:
     def __init__(self, share: np.ndarray, bias: float):
         self.share, self.bias = share, bias
         self.words: dict[str, tuple[float, int]] = {}
+        self.met = bytearray(SEEN_BITS >> 3)  # a bit a word, by hash: words are kept from their second sight on
 
     def _word(self, word: str) -> tuple[float, int]:
         places = word_features(word)
         found = (float(self.share[places].sum()), len(places))
         if len(self.words) < MEMO_WORDS and len(word) <= 40:
-            self.words[word] = found
+            bit = hash(word) & SEEN_BITS - 1
+            if self.met[bit >> 3] >> (bit & 7) & 1:
+                self.words[word] = found
+            else:
+                self.met[bit >> 3] |= 1 << (bit & 7)
         return found
 
     def score(self, text: str | None) -> float:
