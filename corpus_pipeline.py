@@ -37,7 +37,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_batches(spark), docs, TOKENIZER, capacity=2048, separator=0)
+    # a smaller memo than alone: workers have been through the other stages
+    return packing.pack_documents(_batches(spark), docs, TOKENIZER, capacity=2048, separator=0, memo_units=200_000)
 
 
 STAGES = [
