@@ -135,3 +135,8 @@ def _player_query(spark, tmp_path, name, games, events):
 def test_wrong_keys_are_wrong_for_every_game(spark, tmp_path):
     found, wanted = _player_query(spark, tmp_path, "player_counts", [77777, 77778], [(61, 77776), (64, 77776), (122, 77777)])
     assert found == wanted and [r[0] for r in found] == ["p64"]
+
+
+def test_reasons_hold_whatever_ids_games_have(spark, tmp_path):
+    found, wanted = _player_query(spark, tmp_path, "player_event_reasons", [77777, 99999999], [(61, 77776), (43, 77776), (64, 77776), (64, 99999998)])
+    assert found == wanted and [r[:2] for r in found] == [("", 2), ("KAFKA_KEY_APPID_MISMATCH", 1), ("UNKNOWN_APPID", 1)]
