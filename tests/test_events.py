@@ -140,3 +140,32 @@ def test_wrong_keys_are_wrong_for_every_game(spark, tmp_path):
 def test_reasons_hold_whatever_ids_games_have(spark, tmp_path):
     found, wanted = _player_query(spark, tmp_path, "player_event_reasons", [77777, 99999999], [(61, 77776), (43, 77776), (64, 77776), (64, 99999998)])
     assert found == wanted and [r[:2] for r in found] == [("", 2), ("KAFKA_KEY_APPID_MISMATCH", 1), ("UNKNOWN_APPID", 1)]
+
+
+def test_known_ids_at_the_edges(spark):
+    games = spark.createDataFrame([(i,) for i in (8, 32768, 32769, 70000, 2147483647, 70000, None)], "appid int")
+    asked = [8, 9, 16, 32767, 32768, 32769, 32770, 65536, 70000, 2147483647, 2147483646, -8, None]
+    found = events.review_events(_log(spark, [_review(appid=i) for i in asked]), games).orderBy("offset").collect()
+    assert [r["appid"] for r in found if "UNKNOWN_APPID" not in r["error_reason"]] == [8, 32768, 32769, 70000, 2147483647]
+    assert len(found) == len(asked)
+
+
+def test_streams_take_little_of_the_driver(spark, tmp_path, monkeypatch):
+    from opinera.streaming import wiring
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as in a stream
+    try:
+        events.append_once(f"{tmp_path}/gold", "id")(spark.range(4000).select(F.col("id").cast("string")), 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    gold = spark.read.parquet(f"{tmp_path}/gold")
+    assert gold.count() == 4000 and len(gold.inputFiles()) <= events.KEY_BUCKETS
+    _log(spark, [_review(), _review()]).write.parquet(f"{tmp_path}/log")
+    live = events.review_events(spark.readStream.schema(LOG).parquet(f"{tmp_path}/log"), _games(spark))
+    events.file_sink(events.once(events.valid(live), ["event_id"], "1 day").select("event_id"), f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+    assert not list(tmp_path.glob("state/**/*.delta")) and spark.conf.get("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", None) is None
+    monkeypatch.setattr(wiring, "BROADCAST_GAMES", 1)
+    few, many = spark.range(1), spark.range(2)
+    plan = lambda games: many.join(wiring._sized(games), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan(many) and "SortMergeJoin" not in plan(few)
