@@ -169,3 +169,58 @@ def test_streams_take_little_of_the_driver(spark, tmp_path, monkeypatch):
     few, many = spark.range(1), spark.range(2)
     plan = lambda games: many.join(wiring._sized(games), "id")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan(many) and "SortMergeJoin" not in plan(few)
+
+
+def _shuffled(spark):
+    """Shuffle files of this process."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (blocks.apply(i).getName() for i in range(blocks.size())) if n.startswith("shuffle_")}
+
+
+def test_streams_take_little_disk(spark, tmp_path, monkeypatch):
+    import time
+
+    from opinera.operators import snapshots
+    from opinera.sources.logs import read_landed_log
+    from opinera.sources.staging import drop_folder
+    from opinera.streaming import wiring
+
+    log, running, kept = f"{tmp_path}/log", [], []
+    _log(spark, [_review(), _review(appid=-1)]).write.parquet(log)
+    paths = wiring.Paths(f"file://{tmp_path}/data", f"file://{tmp_path}/state")
+    games = _games(spark).selectExpr("*", "'USD' AS currency", "array('a') AS genres", "array('b') AS categories", "CAST(NULL AS struct<windows:boolean,mac:boolean,linux:boolean>) AS platforms", "'soon' AS release_date")
+    for name in ("file_sink", "batch_sink"):  # a query starts when no other runs
+        start = getattr(events, name)
+        monkeypatch.setattr(events, name, lambda *a, _start=start: (running.append(len(spark.streams.active)), _start(*a))[1])
+    stream = wiring.Reviews(paths, games, spark.createDataFrame([], "recommendationid string"))
+    assert stream._games.count() == 1  # a plain query's files stay
+    before = _shuffled(spark)
+    stream.run(spark, read_landed_log(spark, log), lambda: drop_folder(spark, log))
+    for _ in range(100):
+        if not _shuffled(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not _shuffled(spark) - before
+    assert running == [0] * 6 and not (tmp_path / "log").exists()
+    assert [spark.read.parquet(paths.table(n)).count() for n in ("archive", "quarantine", "reviews", "base")] == [2, 1, 1, 1]
+    assert all(spark.read.parquet(paths.table(n)).inputFiles()[0].endswith(".zstd.parquet") for n in ("archive", "quarantine"))
+    latest = snapshots.latest
+    monkeypatch.setattr(snapshots, "latest", lambda *a: (kept.append(len(events._folders(spark, f"{tmp_path}/snap"))), latest(*a))[1])
+    write = events.upsert_once(f"{tmp_path}/snap", ["id"], ["at"])
+    for n in range(4):
+        write(spark.createDataFrame([("a", n, AT + dt.timedelta(days=n))], "id string, n int, at timestamp"), n)
+    assert kept == [0, 1, 2, 2] and events.newest(spark, f"{tmp_path}/snap").first()["n"] == 3
+
+
+def test_a_wrong_document_is_not_written(spark, tmp_path):
+    import pytest
+
+    from opinera.operators import contracts
+
+    rows = spark.createDataFrame([("a", []), ("b", ["appid must be positive"])], "_id string, wrong array<string>")
+    write = events.upsert_once(f"{tmp_path}/snap", ["_id"], ["n"])
+    put = lambda r, n: write(contracts.checked_documents(r).withColumn("n", F.lit(n)), n)
+    put(rows.where("_id = 'a'"), 0)
+    with pytest.raises(Exception, match="b: appid must be positive"):
+        put(rows, 1)
+    assert [r["_id"] for r in events.newest(spark, f"{tmp_path}/snap").collect()] == ["a"]
